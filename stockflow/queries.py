@@ -37,7 +37,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 INSTANT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-PROCESSED_AT = F.lit(datetime(2024, 1, 31, tzinfo=timezone.utc))
+
+
+def processed_at():
+    """A fixed processing time, so that a batch result does not depend on the clock."""
+    return F.lit(datetime(2024, 1, 31, tzinfo=timezone.utc))
 
 
 def query(function: Query) -> Query:
@@ -229,7 +233,7 @@ def dedup_valid_movements(spark, sf_dir):
 def processed_events(spark, sf_dir):
     """the register of consumed ids."""
     first = dedupe.first_deliveries(D.typed_events(spark, sf_dir))
-    return state.processed_events(first.withColumn("processed_at", PROCESSED_AT)).drop(
+    return state.processed_events(first.withColumn("processed_at", processed_at())).drop(
         "processed_at"
     )
 
@@ -260,7 +264,7 @@ def velocity_scope_rows(spark, sf_dir):
 def _accepted(spark, sf_dir):
     """First deliveries as a stored table, as in the streaming sink."""
     first = dedupe.first_deliveries(D.typed_events(spark, sf_dir))
-    return stored(state.accepted_columns(first, PROCESSED_AT), "accepted")
+    return stored(state.accepted_columns(first, processed_at()), "accepted")
 
 
 def _inventory(spark, sf_dir):
@@ -327,7 +331,7 @@ def promotion_metrics(spark, sf_dir):
     """Counters after all events."""
     promotions = _promotions(spark, sf_dir)
     first = dedupe.first_deliveries(D.typed_events(spark, sf_dir))
-    changed = state.changed_promotions(promotions, first, PROCESSED_AT)
+    changed = state.changed_promotions(promotions, first, processed_at())
     return _promotions_output(merge.merged(promotions, changed, V.PROMOTION_KEY))
 
 
@@ -387,8 +391,8 @@ def duplicate_keys(spark, sf_dir):
 
 
 def _fact(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("created_at", PROCESSED_AT).withColumn(
-        "loaded_at", PROCESSED_AT
+    return rows.withColumn("created_at", processed_at()).withColumn(
+        "loaded_at", processed_at()
     )
 
 
@@ -450,7 +454,7 @@ def _gold_lake(spark, sf_dir) -> Lake:
     )
     partitions.overwrite_partitions(
         projections.silver_movement_rows(events).withColumn(
-            "silver_processed_at", PROCESSED_AT
+            "silver_processed_at", processed_at()
         ),
         lake.silver_movements,
         ["business_date", "business_hour"],
