@@ -5,16 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stockflow.storage import exists
+
 BATCHES_PER_BASE = 50
 
 
 class KeyedLog:
-    """Full rows per key in a base, and changed rows per batch after it.
+    """Seeded rows, changed rows per batch, and now and then all rows as a base.
 
     A batch writes only the keys it changed, into a folder named after the batch,
-    so a replayed batch replaces its own output. A new base is written every
-    ``batches_per_base`` batches. Batch numbers alone say which folders to read:
-    nothing is listed, and a batch never reads its own output.
+    so a replayed batch replaces its own output and never reads it. A new base is
+    written every ``batches_per_base`` batches. Batch numbers alone say which
+    folders to read; nothing is listed.
+
+    Rows carry a version: odd for the changes of a batch, even for rows seeded
+    between two batches. The highest version of a key counts, and of equal ones the
+    last updated.
     """
 
     def __init__(
@@ -37,30 +43,43 @@ class KeyedLog:
     def _changes(self, batch_id: int) -> str:
         return f"{self.root}/changes={batch_id}"
 
-    def _write(self, rows: DataFrame, version: int, path: str) -> None:
+    @property
+    def _seeds(self) -> str:
+        return f"{self.root}/seeds"
+
+    def _write(self, rows: DataFrame, version: int, path: str, mode: str) -> None:
         versioned = rows.withColumn("_version", F.lit(version).cast("bigint"))
-        versioned.write.mode("overwrite").parquet(path)
+        versioned.write.mode(mode).parquet(path)
 
-    def seed(self, rows: DataFrame) -> None:
-        """Write the initial rows, before the first batch."""
-        self._write(rows, -1, self._base(0))
+    def _read(self, *paths: str) -> DataFrame:
+        schema = f"{self.schema}, _version BIGINT"
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def seed(self, rows: DataFrame, before_batch: int = 0) -> None:
+        """Insert or replace rows by key, in effect from a batch that is to come."""
+        self._write(rows, 2 * before_batch, self._seeds, "append")
 
     def write(self, changes: DataFrame, batch_id: int) -> None:
         """Store the rows a batch changed. Every batch calls this, also for none."""
-        self._write(changes, batch_id, self._changes(batch_id))
+        self._write(changes, 2 * batch_id + 1, self._changes(batch_id), "overwrite")
 
     def _rows(self, base: int, end: int, only: DataFrame | None) -> DataFrame:
-        """Rows of a base overlaid with the changes of the batches before ``end``."""
-        batches = range(base * self.batches_per_base, end)
-        paths = [self._base(base), *[self._changes(batch) for batch in batches]]
-        versions = self.spark.read.schema(f"{self.schema}, _version BIGINT").parquet(
-            *paths
-        )
+        """Rows of a base overlaid with what came before batch ``end``."""
+        start = base * self.batches_per_base
+        paths = [self._base(base)] if base else []
+        versions = self._read(*paths, *map(self._changes, range(start, end)))
+        if exists(self.spark, self._seeds):
+            seeds = self._read(self._seeds)
+            versions = versions.unionByName(
+                seeds.filter(F.col("_version").between(2 * start, 2 * end))
+            )
         if only is not None:
             versions = versions.join(only, self.keys, "left_semi")
-        if not batches:
-            return versions.drop("_version")
-        newest = Window.partitionBy(*self.keys).orderBy(F.col("_version").desc())
+        newest = Window.partitionBy(*self.keys).orderBy(
+            F.desc("_version"), F.desc("updated_at")
+        )
         return (
             versions.withColumn("_rank", F.row_number().over(newest))
             .filter(F.col("_rank") == 1)
@@ -72,9 +91,10 @@ class KeyedLog:
 
         ``only`` restricts them to the keys it holds, before versions are compared.
         """
-        base = batch_id // self.batches_per_base
-        if base and batch_id == base * self.batches_per_base:
-            self._write(self._rows(base - 1, batch_id, None), -1, self._base(base))
+        base, since_base = divmod(batch_id, self.batches_per_base)
+        if base and not since_base:
+            everything = self._rows(base - 1, batch_id, None)
+            self._write(everything, 2 * batch_id - 1, self._base(base), "overwrite")
         return self._rows(base, batch_id, only)
 
     def after(self, batch_id: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -179,9 +179,15 @@ class StateSink:
         )
 
     def seed(self, inventory: DataFrame, promotions: DataFrame) -> None:
-        """B1/B2: write the state the first batch starts from."""
-        self.inventory.seed(inventory)
-        self.promotions.seed(promotions)
+        """B1/B2: insert or replace rows, in effect from the next batch.
+
+        Keys that a running stream may be moving should be seeded while it is
+        stopped; keys new to it, such as those of a new campaign, at any time.
+        """
+        last = self.last_finished()
+        upcoming = 0 if last is None else last + 1
+        self.inventory.seed(inventory, upcoming)
+        self.promotions.seed(promotions, upcoming)
 
     def _accept(self, batch: DataFrame, batch_id: int) -> DataFrame:
         path = f"{self.lake.accepted}/batch_id={batch_id}"
@@ -201,26 +207,36 @@ class StateSink:
         promotions = self.promotions.before(
             batch_id, accepted.select(*V.PROMOTION_KEY).distinct()
         )
-        if accepted.isEmpty():
+        processed_at = accepted.agg(F.max("processed_at")).first()[0]
+        if processed_at is None:
             self.inventory.write(inventory.limit(0), batch_id)
             self.promotions.write(promotions.limit(0), batch_id)
-            return
-        now = F.lit(accepted.agg(F.max("processed_at")).first()[0])
-        valid_ledger = apply_events(
-            accepted, inventory, promotions, now, self.block_offsets
+        else:
+            self._apply(accepted, inventory, promotions, F.lit(processed_at), batch_id)
+        self._finish(batch_id)
+
+    def _apply(
+        self,
+        accepted: DataFrame,
+        inventory: DataFrame,
+        promotions: DataFrame,
+        processed_at: Column,
+        batch_id: int,
+    ) -> None:
+        """Write all effects of a batch; the ledger is computed once for three."""
+        effects = apply_events(
+            accepted, inventory, promotions, processed_at, self.block_offsets
         )
-        ledger = valid_ledger.ledger
-        ledger.persist()
+        effects.ledger.persist()
         try:
-            self._append_history(valid_ledger.history, batch_id)
-            valid_ledger.alerts.write.mode("overwrite").parquet(
+            self._append_history(effects.history, batch_id)
+            effects.alerts.write.mode("overwrite").parquet(
                 f"{self.lake.alerts}/batch_id={batch_id}"
             )
-            self.inventory.write(valid_ledger.changed_inventory, batch_id)
-            self.promotions.write(valid_ledger.changed_promotions, batch_id)
+            self.inventory.write(effects.changed_inventory, batch_id)
+            self.promotions.write(effects.changed_promotions, batch_id)
         finally:
-            ledger.unpersist()
-        self._finish(batch_id)
+            effects.ledger.unpersist()
 
     def _append_history(self, history: DataFrame, batch_id: int) -> None:
         """K7: the batch is the last partition level, so a replay replaces itself."""
@@ -245,19 +261,17 @@ class StateSink:
         done = self.spark.read.schema("id BIGINT").parquet(self.lake.finished_batches)
         return done.agg(F.max("id")).first()[0]
 
+    def _current(self, table: KeyedLog) -> DataFrame:
+        last = self.last_finished()
+        return table.before(0) if last is None else table.after(last)
+
     def current_inventory(self) -> DataFrame:
         """Stock per key after the newest complete batch."""
-        last = self.last_finished()
-        return self.inventory.after(last) if last is not None else (
-            self.inventory.before(0)
-        )
+        return self._current(self.inventory)
 
     def current_promotions(self) -> DataFrame:
         """Promotion counters after the newest complete batch."""
-        last = self.last_finished()
-        return self.promotions.after(last) if last is not None else (
-            self.promotions.before(0)
-        )
+        return self._current(self.promotions)
 
 
 def start_state(
