@@ -81,8 +81,11 @@ def topic(spark, tmp_path):
     return Topic(spark, tmp_path / "topic")
 
 
+def ordered(tuples):
+    """Tuples in ascending order, with None after everything else."""
+    return sorted(tuples, key=lambda row: [(value is None, value) for value in row])
+
+
 def values(rows, *names):
-    """Rows as sorted tuples."""
-    return sorted(
-        (tuple(row[name] for name in names) for row in rows.collect()), key=repr
-    )
+    """Rows as ordered tuples."""
+    return ordered(tuple(row[name] for name in names) for row in rows.collect())

@@ -14,7 +14,7 @@ from stockflow.operators.lookup import salted_lookup
 from stockflow.operators.movement import net_movement
 from stockflow.operators.running import running_levels
 from stockflow.sources.tables import valid_movements
-from tests.conftest import EVENT, event, values
+from tests.conftest import EVENT, event, ordered, values
 
 RELAXED = settings(
     max_examples=12,
@@ -88,7 +88,7 @@ def test_blocked_running_levels_equal_a_plain_loop(spark, rows, block):
             stock[k] += moved
         expected.append((k, partition, offset, stock.get(k)))
     found = values(levels, "k", "kafka_partition", "kafka_offset", "level")
-    assert found == sorted(expected, key=repr)
+    assert found == ordered(expected)
 
 
 @RELAXED
@@ -104,12 +104,12 @@ def test_salted_lookup_equals_a_plain_join(spark, keys, salts):
     lookup = spark.createDataFrame([("hot", 1), ("cold", 2)], "k STRING, v INT")
     found = salted_lookup(rows, lookup, ["k"], salts=salts)
     known = {"hot": 1, "cold": 2}
-    assert values(found, "kafka_offset", "v") == sorted(
-        ((offset, known.get(key)) for offset, key in enumerate(keys)), key=repr
+    assert values(found, "kafka_offset", "v") == ordered(
+        (offset, known.get(key)) for offset, key in enumerate(keys)
     )
     missing = salted_lookup(rows, lookup, ["k"], how="left_anti", salts=salts)
-    assert values(missing, "kafka_offset") == sorted(
-        ((o,) for o, key in enumerate(keys) if key not in known), key=repr
+    assert values(missing, "kafka_offset") == ordered(
+        (offset,) for offset, key in enumerate(keys) if key not in known
     )
 
 
