@@ -28,7 +28,12 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
         choices=M.STARTING_OFFSETS,
         default=os.getenv("KAFKA_STARTING_OFFSETS", "latest"),
     )
-    parser.add_argument("--max-offsets-per-trigger", type=int)
+    parser.add_argument(
+        "--max-offsets-per-trigger",
+        type=int,
+        default=20_000_000,
+        help="bounds every micro-batch, and so the copies of one event in it",
+    )
     parser.add_argument("--lake-root")
     parser.add_argument("--checkpoint-root")
     parser.add_argument(

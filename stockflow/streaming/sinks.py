@@ -17,7 +17,7 @@ from stockflow.operators.running import BLOCK_OFFSETS
 from stockflow.operators.state import accepted_columns, apply_events
 from stockflow.operators.velocity import sales_velocity, velocity_scope_rows
 from stockflow.sinks.keyed_log import BATCHES_PER_BASE, KeyedLog
-from stockflow.sinks.partitions import merge_upsert
+from stockflow.sinks.partitions import merge_upsert, overwrite_partitions
 from stockflow.sinks.projections import (
     bronze_rows,
     silver_invalid_rows,
@@ -240,12 +240,10 @@ class StateSink:
 
     def _append_history(self, history: DataFrame, batch_id: int) -> None:
         """K7: the batch is the last partition level, so a replay replaces itself."""
-        (
-            history.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("business_date", "campaign_id", "batch_id")
-            .parquet(self.lake.state_history)
+        overwrite_partitions(
+            history.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+            self.lake.state_history,
+            ["business_date", "campaign_id", "batch_id"],
         )
 
     def _finish(self, batch_id: int) -> None:
