@@ -156,6 +156,26 @@ STAGES: dict[str, tuple[list[str], str]] = {
                TIMESTAMP '2024-01-05 00:00:00' AS start_time,
                TIMESTAMP '2024-01-20 00:00:00' AS end_time
         FROM stock_keys WHERE s <> 8"""),
+    "classed": (["typed", "promotions"], """
+        SELECT e.*, p.sale_price, p.normal_price,
+               CASE WHEN NOT (e.promotion_applied AND e.promotion_id IS NOT NULL)
+                        THEN 'NOT_APPLIED'
+                    WHEN p.promotion_key IS NULL THEN 'UNKNOWN'
+                    WHEN e.event_timestamp BETWEEN p.start_time AND p.end_time THEN 'ACTIVE'
+                    ELSE 'OUTSIDE' END AS promotion_class
+        FROM typed e LEFT JOIN promotions p
+          ON p.campaign_id = e.campaign_id AND p.promotion_id = e.promotion_id
+         AND p.sku_id = e.sku_id AND p.warehouse_id = e.warehouse_id"""),
+    "priced": (["classed"], """
+        SELECT * REPLACE (
+            CASE WHEN promotion_class IN ('NOT_APPLIED', 'ACTIVE') THEN promotion_id END
+                AS promotion_id,
+            CASE WHEN promotion_class IN ('OUTSIDE', 'UNKNOWN') THEN false
+                 ELSE promotion_applied END AS promotion_applied,
+            CASE promotion_class WHEN 'ACTIVE' THEN sale_price
+                                 WHEN 'OUTSIDE' THEN normal_price
+                                 ELSE unit_price END AS unit_price)
+        FROM classed"""),
     "ledger": (["firsts", "inventory"], """
         SELECT e.*, i.inventory_key, i.threshold,
                i.stock + sum(e.movement_qty) OVER (
@@ -486,27 +506,14 @@ ORACLE: dict[str, str] = {
     "current_inventory": _with(["history", "inventory"], _CURRENT),
     "alerts": _with(["history", "ledger", "promotions"], _ALERTS),
     "promotion_metrics": _with(["promotions", "firsts"], _PROMOTIONS),
-    "promotion_window": _with(["typed", "promotions"], """
-        , classed AS (
-            SELECT e.*, p.sale_price, p.normal_price,
-                   CASE WHEN NOT (e.promotion_applied AND e.promotion_id IS NOT NULL)
-                            THEN 'NOT_APPLIED'
-                        WHEN p.promotion_key IS NULL THEN 'UNKNOWN'
-                        WHEN e.event_timestamp BETWEEN p.start_time AND p.end_time
-                            THEN 'ACTIVE'
-                        ELSE 'OUTSIDE' END AS promotion_class
-            FROM typed e LEFT JOIN promotions p
-              ON p.campaign_id = e.campaign_id AND p.promotion_id = e.promotion_id
-             AND p.sku_id = e.sku_id AND p.warehouse_id = e.warehouse_id)
-        SELECT kafka_partition, kafka_offset, event_id, promotion_class,
-               CASE WHEN promotion_class IN ('NOT_APPLIED', 'ACTIVE') THEN promotion_id END
-                   AS promotion_id,
-               CASE WHEN promotion_class IN ('OUTSIDE', 'UNKNOWN') THEN false
-                    ELSE promotion_applied END AS promotion_applied,
-               CASE promotion_class WHEN 'ACTIVE' THEN sale_price
-                                    WHEN 'OUTSIDE' THEN normal_price
-                                    ELSE unit_price END AS unit_price
-        FROM classed"""),
+    "promotion_window": _with(["priced"], """
+        SELECT kafka_partition, kafka_offset, event_id, promotion_class, promotion_id,
+               promotion_applied, unit_price
+        FROM priced"""),
+    "outgoing_records": _with(["priced"], f"""
+        SELECT {_KEY} AS key, event_id, event_time, event_type, order_id, promotion_id,
+               promotion_applied, unit_price
+        FROM priced"""),
     "latest_state_by_day": _with(["latest"], f"""
         SELECT CAST(business_date AS VARCHAR) AS business_date, campaign_id, sku_id,
                warehouse_id,

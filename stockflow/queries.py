@@ -29,7 +29,7 @@ from stockflow.sources import driver_tables as D
 from stockflow.sources import messages as M
 from stockflow.sources import tables
 from stockflow.sources.config import read_snapshots
-from stockflow.storage import exists, read_table, stored, work_path
+from stockflow.storage import read_table, stored, work_path
 from stockflow.streaming import runner
 from stockflow.streaming import sinks as streams
 
@@ -213,6 +213,21 @@ def _struct_ddl(ddl: str) -> str:
     )
 
 
+@query
+def outgoing_records(spark, sf_dir):
+    """Events priced by their promotion window, sent and parsed again."""
+    sent = records.encode_records(
+        records.outgoing_events(
+            D.raw_events(spark, sf_dir), D.promotion_config(spark, sf_dir)
+        )
+    )
+    event = F.from_json("value", schemas.EVENT)
+    return sent.select("key", F.inline(F.array(event))).select(
+        "key", "event_id", "event_time", "event_type", "order_id", "promotion_id",
+        "promotion_applied", "unit_price",
+    )
+
+
 # --- de-duplication, movement, velocity -----------------------------------------
 
 

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_, or_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.operators.merge import merged
@@ -37,20 +34,23 @@ def overwrite_partitions(
 
 
 def _in_partitions(rows: DataFrame, touched: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows of the partitions that occur in ``touched``.
+    """Rows of the partitions that occur in ``touched``, NULL values included.
 
-    A bounded list of partition values becomes a literal filter and prunes the
-    scan. With more of them the semi join takes over.
+    A bounded list of partition values becomes literal filters per column, which
+    prune the scan. The semi join keeps exactly the touched combinations, also
+    where there are too many of them to list.
     """
     partitions = touched.select(*cols).distinct()
     listed = partitions.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return rows.join(partitions, cols, "left_semi")
-
-    def same(row) -> Column:
-        return reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in cols])
-
-    return rows.filter(reduce(or_, [same(row) for row in listed], F.lit(False)))
+    if len(listed) <= MAX_LISTED_PARTITIONS:
+        for name in cols:
+            found = {row[name] for row in listed}
+            some = F.col(name).isin(*(found - {None}))
+            rows = rows.filter(some | F.col(name).isNull() if None in found else some)
+        partitions = rows.sparkSession.createDataFrame(listed, partitions.schema)
+    renamed = partitions.toDF(*[f"_{name}" for name in cols])
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in cols]
+    return rows.join(renamed, same, "left_semi")
 
 
 def merge_upsert(

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from stockflow import schemas
+from stockflow.functions import events as E
 from stockflow.functions import keys as K
 from stockflow.functions import vocabulary as V
+from stockflow.operators.promotion import enforce_promotion_window
 from stockflow.sources.messages import auth_options
 
 EVENT_COLUMNS = schemas.column_names(schemas.EVENT)
@@ -44,6 +47,21 @@ def write_dead_letters(events: DataFrame, path: str) -> None:
     failed.write.mode("append").partitionBy("date").json(path)
 
 
+def outgoing_events(events: DataFrame, promotions: DataFrame) -> DataFrame:
+    """J5 before K14: raw events with inactive promotions removed and prices set."""
+    return enforce_promotion_window(
+        E.with_event_times(events), promotions
+    ).select(*events.columns)
+
+
+def _kafka_options(servers: str, topic: str, auth_mode: str) -> dict[str, str]:
+    return {
+        "kafka.bootstrap.servers": servers,
+        "topic": topic,
+        **auth_options(auth_mode),
+    }
+
+
 def write_to_kafka(
     events: DataFrame, servers: str, topic: str, auth_mode: str = "iam"
 ) -> None:
@@ -51,8 +69,23 @@ def write_to_kafka(
     (
         encode_records(events)
         .write.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("topic", topic)
-        .options(**auth_options(auth_mode))
+        .options(**_kafka_options(servers, topic, auth_mode))
         .save()
     )
+
+
+def start_to_kafka(
+    events: DataFrame,
+    servers: str,
+    topic: str,
+    checkpoint: str,
+    auth_mode: str = "iam",
+) -> StreamingQuery:
+    """K14 for a streaming DataFrame. Needs the Kafka connector."""
+    return (
+        encode_records(events)
+        .writeStream.format("kafka")
+        .options(**_kafka_options(servers, topic, auth_mode))
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date, datetime, timezone
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from stockflow import schemas
 from stockflow.operators.merge import DuplicateKeys
 from stockflow.plans import gold, mart, seed, views
+from stockflow.sinks import partitions
 from stockflow.sinks.partitions import merge_upsert, overwrite_partitions
 from stockflow.sources import driver_tables as D
 from stockflow.sources.config import (
@@ -277,8 +279,6 @@ def test_merge_rewrites_only_touched_partitions(spark, lake):
         return spark.createDataFrame(list(data), schema)
 
     merge_upsert(path, schema, rows(("a", 1, "x"), ("b", 2, "y")), ["k", "p"], ["p"])
-    import os
-
     untouched = partition_dir(path, p="y")
     before = sorted(os.listdir(untouched))
     merge_upsert(path, schema, rows(("a", 9, "x"), ("c", 3, "z")), ["k", "p"], ["p"])
@@ -288,6 +288,25 @@ def test_merge_rewrites_only_touched_partitions(spark, lake):
     ]
 
 
+@pytest.mark.parametrize("listed", [1000, 1])
+def test_merge_keeps_null_partitions_and_other_combinations(
+    spark, lake, monkeypatch, listed
+):
+    monkeypatch.setattr(partitions, "MAX_LISTED_PARTITIONS", listed)
+    path, schema = lake.mart("t"), "k STRING, v INT, p STRING, q INT"
+
+    def merge(*data):
+        rows = spark.createDataFrame(list(data), schema)
+        merge_upsert(path, schema, rows, ["k", "p", "q"], ["p", "q"])
+
+    merge(("a", 1, None, 1), ("b", 2, "x", 1), ("c", 3, "x", 2), ("d", 4, "y", 1))
+    merge(("e", 5, None, 1), ("b", 9, "x", 1), ("f", 6, "y", 2))
+    assert values(read_table(spark, path, schema), "k", "v", "p", "q") == [
+        ("a", 1, None, 1), ("b", 9, "x", 1), ("c", 3, "x", 2), ("d", 4, "y", 1),
+        ("e", 5, None, 1), ("f", 6, "y", 2),
+    ]
+
+
 def test_views_pick_first_and_last_day_of_the_month(spark, lake):
     first, last, next_month = date(2024, 1, 1), date(2024, 1, 31), date(2024, 2, 1)
     write_gold_tables(
