@@ -118,10 +118,16 @@ def invalid_reason() -> Column:
 
 
 def with_movement_and_validity(events: DataFrame) -> DataFrame:
-    """P5-P7. Validity is derived from the reason, so the two cannot disagree."""
+    """P5-P7. Validity is derived from the reason, so the two cannot disagree.
+
+    The reason leaves a generator of one row, as the parsed event does: a filter on
+    validity then reads it, where it would otherwise repeat the whole rule chain,
+    with everything the rules refer to, next to the scan.
+    """
+    reason = F.explode(F.array(invalid_reason())).alias("invalid_reason")
     return (
         events.withColumn("movement_qty", movement_qty())
-        .withColumn("invalid_reason", invalid_reason())
+        .select("*", reason)
         .withColumn("is_valid_event", F.col("invalid_reason").isNull())
     )
 

@@ -123,6 +123,8 @@ def test_json_is_parsed_once_under_a_validity_filter(topic):
     rows = E.events_from_messages(topic.rows([EVENT])).filter("is_valid_event")
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+    assert plan.count("missing_sku_id") == 1
+    assert "size(" not in plan
 
 
 def test_contract_audit_counts_each_rule(topic):
