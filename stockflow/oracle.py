@@ -18,7 +18,7 @@ def _text(name: str) -> str:
 STAGES: dict[str, tuple[list[str], str]] = {
     "base": ([], """
         SELECT event_id AS n, user_id AS u, ts, value,
-               CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+               CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
                CASE WHEN event_id % 193 = 0 THEN 'BOGUS'
                     WHEN event_type = 'signup' AND event_id % 10 < 3 THEN 'STOCK_REPLENISHED'
                     WHEN event_type = 'signup' THEN 'RETURN_RECEIVED'
