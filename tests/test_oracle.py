@@ -10,20 +10,22 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from stockflow.oracle import ORACLE
+from stockflow.queries import QUERIES
 from tests.compare import difference
 
 SF = "/root/testdata/sf0.001"
 LONG = ("stream_", "merge_", "gold_job", "mart_job")
 NAMES = [
     name
-    for name in queries()
+    for name in QUERIES
     if os.getenv("STOCKFLOW_ALL_QUERIES") or not name.startswith(LONG)
 ]
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_the_flagship_query_has_rows(spark):
@@ -32,4 +34,4 @@ def test_the_flagship_query_has_rows(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_its_sql_twin(spark, name):
-    assert difference(queries()[name](spark, SF), SF, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SF), SF, ORACLE[name]) is None
