@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import host_rules, simhash_dedup
+from stockflow.llm import decontaminate, host_rules, mixing, packing, simhash_dedup
 from stockflow.llm.ship import ship
 from stockflow.session import prepare
 from stockflow.storage import stored
@@ -31,9 +31,30 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash_dedup.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    _ready(spark)
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated or left out so that sources meet their target weights."""
+    _ready(spark)
+    return mixing.mixed(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids packed into rows and written; a description of each row is returned."""
+    _ready(spark)
+    return packing.write_packed(docs)
+
+
 STAGES = [
     ("quality_rules", quality),
     ("simhash_dedup", dedup),
+    ("decontamination", decontamination),
+    ("mixture", mixture),
+    ("packed_ids", packed),
 ]
 
 # Fingerprints, trees and tokenizers are beyond SQL: tests compare with brute force.

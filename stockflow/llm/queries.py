@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import host_rules, simhash_dedup, site_lines
+from stockflow.llm import decontaminate, host_rules, mixing, packing, secret_scan, simhash_dedup, site_lines
 from stockflow.llm.ship import ship
 from stockflow.session import prepare
 
@@ -39,6 +39,38 @@ def op3_host_rules(spark, sf_dir):
     )
 
 
+@query
+def op4_entropy_mix(spark, sf_dir):
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).cast("bigint").alias("taken"),
+    )
+
+
+@query
+def op5_packed_ids(spark, sf_dir):
+    return packing.write_packed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_decontaminate(spark, sf_dir):
+    found = decontaminate.leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
+@query
+def op7_secret_owners(spark, sf_dir):
+    found = secret_scan.scan(
+        table(spark, sf_dir, "documents"),
+        repository=F.concat_ws("/", "source", "lang"),
+        owner=F.col("source"),
+    )
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op8_site_lines(spark, sf_dir):
     found = site_lines.without_boilerplate(table(spark, sf_dir, "documents"))
