@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.llm import decontaminate, host_rules, mixing, packing, secret_scan, simhash_dedup, site_lines
+from stockflow.llm import (
+    decontaminate,
+    host_rules,
+    lm,
+    mixing,
+    packing,
+    page_text,
+    secret_scan,
+    simhash_dedup,
+    site_lines,
+    warc,
+)
 from stockflow.llm.ship import ship
 from stockflow.session import prepare
 
@@ -30,6 +41,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_elias_fano_lm(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op2_warc_salvage(spark, sf_dir):
+    archives = warc.write(table(spark, sf_dir, "pages"))
+    records = warc.read(archives).where("kind = 'record'")
+    return records.select(
+        warc.key_of("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes", "payload_digest", "record_type",
+        warc.key_of("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
 @query
 def op3_host_rules(spark, sf_dir):
     found = host_rules.judged(table(spark, sf_dir, "documents"))
@@ -77,6 +104,14 @@ def op8_site_lines(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "text", "n_lines", "n_dropped")
 
 
+@query
+def op9_page_text(spark, sf_dir):
+    found = page_text.extract(table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("bigint").alias("n_chars")
+    )
+
+
 @query
 def op10_simhash_bk(spark, sf_dir):
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
