@@ -74,7 +74,7 @@ def fingerprints(documents: DataFrame, id_column: str, text_column: str,
                 prints.append(majority(values))
                 wides.append(
                     [
-                        majority(W.mix(values + np.uint64(k) * np.uint64(W._ODD)))
+                        majority(W.mix(values + np.uint64(k << 60 | k)))
                         for k in range(1, more + 1)
                     ]
                 )
