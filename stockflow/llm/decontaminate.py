@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import words as W
+from stockflow.llm.rows import without
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -257,5 +258,4 @@ def keep_clean(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc
                text_column: str = "text") -> DataFrame:
     """The documents without any leak, columns unchanged; rows with a null id stay."""
     lost = leaks(documents, benchmark, id_column, text_column)
-    lost = lost.select(F.col("id").alias("_lost")).distinct()
-    return documents.join(lost, F.col(id_column) == F.col("_lost"), "left_anti")
+    return without(documents, id_column, lost.select("id"))

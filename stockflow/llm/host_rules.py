@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockflow.llm.rows import without
 from stockflow.llm.words import BLANK
 from stockflow.storage import stored
 
@@ -159,8 +160,7 @@ def keep_good(documents: DataFrame, id_column: str = "doc_id", text_column: str
     takes all of them along.
     """
     lost = judged(documents, id_column, text_column, host_column).where(~F.col("kept"))
-    lost = lost.select(F.col("id").alias("_lost")).distinct()
-    kept = documents.join(lost, F.col(id_column) == F.col("_lost"), "left_anti")
+    kept = without(documents, id_column, lost.select("id"))
     alone = measures(F.col(text_column))
     named = F.col(id_column).isNotNull()
     good = (alone["n_words"] >= MIN_WORDS) & (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockflow.llm.rows import fresh
 from stockflow.llm.words import BLANK
 from stockflow.storage import stored
 
@@ -15,7 +16,7 @@ MAX_STEPS = 60
 # Rounding works on whole numbers, so that running sums are exact.
 UNIT = 1 << 20
 # Rows of a source that one task orders.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 4096
 REPAIRS = 4
 
 
@@ -238,9 +239,12 @@ def mixed(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
           source_column: str = "source", weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The documents of the mix, each as often as it has copies, columns unchanged."""
     copies = mix(documents, id_column, text_column, source_column, weights)
-    copies = copies.groupBy("mark").agg(F.max("copies").alias("_copies"))
-    copies = copies.where("_copies > 0").withColumnRenamed("mark", "_mark")
+    own, times, each = (fresh(documents, name) for name in ("own_mark", "times", "each"))
+    copies = copies.groupBy(F.col("mark").alias("of_mark")).agg(F.max("copies").alias(times))
+    copies = copies.where(F.col(times) > 0)
     mark = F.xxhash64(F.col(id_column).cast("string"), F.col(text_column).cast("string"))
-    found = documents.withColumn("_own", mark).join(copies, F.col("_own") == F.col("_mark"))
-    repeat = F.explode(F.array_repeat(F.lit(0), F.col("_copies")))
-    return found.select(*[F.col(name) for name in documents.columns], repeat.alias("_n")).drop("_n")
+    found = documents.withColumn(own, mark)
+    found = found.join(copies.withColumnRenamed("of_mark", own), own)
+    repeat = F.explode(F.array_repeat(F.lit(0), F.col(times)))
+    kept = [found[name] for name in documents.columns]
+    return found.select(*kept, repeat.alias(each)).drop(each)

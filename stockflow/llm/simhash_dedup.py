@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from stockflow.llm import words as W
 from stockflow.llm.graph import components
+from stockflow.llm.rows import without
 from stockflow.storage import stored
 
 SEED = 42
@@ -59,8 +60,8 @@ def majority(values: np.ndarray) -> int:
 
 
 def fingerprints(documents: DataFrame, id_column: str, text_column: str,
-                 shingle: int = 4, more: int = 0) -> DataFrame:
-    """(id, fp, wide): the fingerprint, and ``more`` words of an independent one."""
+                 shingle: int = 4, more: int = 0, more_shingle: int = 5) -> DataFrame:
+    """(id, fp, wide): the fingerprint, and ``more`` words of one over longer shingles."""
     kind = documents.schema[id_column].dataType.simpleString()
     rows = documents.select(
         F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")
@@ -72,6 +73,8 @@ def fingerprints(documents: DataFrame, id_column: str, text_column: str,
             for text in W.texts(batch.column(1)):
                 values = shingle_hashes(text, shingle)
                 prints.append(majority(values))
+                if more:
+                    values = shingle_hashes(text, more_shingle)
                 wides.append(
                     [
                         majority(W.mix(values + np.uint64(k << 60 | k)))
@@ -217,9 +220,10 @@ def links(vertices: DataFrame, radius: int, agree: int = 1, wide_radius: int = 0
     """
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not len(table):
+        parts = [batch for batch in batches if len(batch)]
+        if not parts:
             return
+        table = pa.Table.from_batches(parts)
         shard = table["shard"].to_numpy()
         order = np.argsort(shard, kind="stable")
         vertex = table["vertex"].to_numpy()[order]
@@ -270,15 +274,15 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
 
 
 def keep_one(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-             shingle: int = 5, radius: int = 8, agree: int = 2,
+             shingle: int = 2, radius: int = 8, agree: int = 2,
              more: int = 3, wide_radius: int = 32) -> DataFrame:
     """The documents with one of each group left, columns unchanged.
 
-    The one with the smallest id stays. Groups are those of ``near_duplicates`` over
-    five-word shingles; 64 index bits find candidates within ``radius``, and 192
-    independent bits confirm them: similarity 0.8 means 0.15 of them differ on average.
-    Rows with a null id are kept, since no smaller one names their group.
+    The one with the smallest id stays. Groups are those of ``near_duplicates``: 64 bits
+    over two-word shingles, which an edit changes least, find candidates within
+    ``radius``, and 192 bits over five-word shingles confirm them: similarity 0.8 means
+    that 0.15 of them differ on average. Rows with a null id are kept, since no smaller
+    one names their group; rows that repeat the kept id are kept with it.
     """
     found = near_duplicates(documents, id_column, text_column, shingle, radius, agree, more, wide_radius)
-    lost = found.where("id <> component").select(F.col("id").alias("_lost")).distinct()
-    return documents.join(lost, F.col(id_column) == F.col("_lost"), "left_anti")
+    return without(documents, id_column, found.where("id <> component").select("id"))
