@@ -24,10 +24,10 @@ from stockflow.llm.warc import file_system
 from stockflow.storage import drop, stored, work_path
 
 DISCOUNT = 0.75
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 # Tokens behind one slice of the vocabulary, and behind one trie.
-SLICE_TOKENS = 12 << 20
-TRIE_TOKENS = 3 << 20
+SLICE_TOKENS = 6 << 20
+TRIE_TOKENS = 1 << 20
 # A context is cut by following word into at most so many tries.
 CUTS = 4096
 # Quantised: this many steps to a factor of ten, in 16 bits.
@@ -196,7 +196,8 @@ class Model:
     def __init__(self, sums: np.ndarray, words: np.ndarray, tries: int):
         self.tokens, self.words, self.tries = int(sums.sum()), int(words.sum()), tries
         self.scale = self.tokens + 0.5 * (self.words + 1)
-        mass = (sums + 0.5 * words) / self.scale
+        # Unknown words have a share too; here it goes by the known ones.
+        mass = (sums + 0.5 * words) / max(1.0, float((sums + 0.5 * words).sum()))
         #: The words' probability by cut, for 1, 2, 4 … cuts.
         self.masses = [mass.reshape(-1, 1 << k).sum(0) for k in range(CUTS.bit_length())]
 
