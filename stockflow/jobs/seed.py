@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("inventory-seed")
     initial = read_initial_inventory(spark, args.initial_inventory, campaign_id)
     promotions = read_promotion_config(spark, args.promotion_config, campaign_id)
+    if promotions.isEmpty():
+        logger.warning("no promotion rows for campaign %s", campaign_id)
     StateSink(spark, lake).seed(seed_inventory(initial), seed_promotions(promotions))
     count = write_snapshot(
         initial, lake.snapshots, business_day(args.snapshot_date), campaign_id

@@ -32,7 +32,18 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
         "--max-offsets-per-trigger",
         type=int,
         default=20_000_000,
-        help="bounds every micro-batch, and so the copies of one event in it",
+        help="bounds every micro-batch",
+    )
+    parser.add_argument(
+        "--max-files-per-trigger",
+        type=int,
+        default=1000,
+        help="the same bound when message files are read",
+    )
+    parser.add_argument(
+        "--state-partitions",
+        type=int,
+        help="partitions of the streams' state, kept for the life of a checkpoint",
     )
     parser.add_argument("--lake-root")
     parser.add_argument("--checkpoint-root")
@@ -50,7 +61,9 @@ def main(argv: list[str] | None = None) -> None:
     lake = Lake.from_environment(args.lake_root, args.checkpoint_root)
     spark = build_session("inventory-streaming-job")
     if args.message_files:
-        messages = M.read_message_files(spark, args.message_files)
+        messages = M.read_message_files(
+            spark, args.message_files, args.max_files_per_trigger
+        )
     else:
         messages = M.read_kafka_stream(
             spark,
@@ -60,7 +73,10 @@ def main(argv: list[str] | None = None) -> None:
             auth_mode=args.auth_mode,
             max_offsets_per_trigger=args.max_offsets_per_trigger,
         )
-    await_any(spark, start_all(messages, StateSink(spark, lake)))
+    queries = start_all(
+        messages, StateSink(spark, lake), partitions=args.state_partitions
+    )
+    await_any(spark, queries)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from stockflow.functions import events as E
 from stockflow.functions import vocabulary as V
-from stockflow.operators.lookup import salted_lookup
 
 # How a promotional event relates to the promotion's window.
 NOT_APPLIED = "NOT_APPLIED"
@@ -25,8 +24,13 @@ def enforce_promotion_window(events: DataFrame, promotions: DataFrame) -> DataFr
     """Price every event by its promotion's time window, both ends included.
 
     Joined on the keys alone, because an event outside the window still needs the
-    promotion's normal price. An unknown promotion is cleared and the price kept.
+    promotion's normal price. An unknown promotion is cleared and the price kept. Only
+    promotional events take part in the join; the others pass by it. Spark broadcasts
+    the promotions while they are small, and splits hot keys of a shuffled join.
     """
+    others = events.filter(~F.coalesce(E.is_promotional(), F.lit(False))).withColumn(
+        "promotion_class", F.lit(NOT_APPLIED)
+    )
     windows = promotions.select(
         *V.PROMOTION_KEY,
         F.lit(True).alias("_known"),
@@ -40,16 +44,16 @@ def enforce_promotion_window(events: DataFrame, promotions: DataFrame) -> DataFr
         F.lit(False),
     )
     window_class = (
-        F.when(~E.is_promotional(), F.lit(NOT_APPLIED))
-        .when(F.col("_known").isNull(), F.lit(UNKNOWN))
+        F.when(F.col("_known").isNull(), F.lit(UNKNOWN))
         .when(inside, F.lit(ACTIVE))
         .otherwise(F.lit(OUTSIDE))
     )
     cleared = F.col("promotion_class").isin(OUTSIDE, UNKNOWN)
     active = F.col("promotion_class") == ACTIVE
     priced = F.col("promotion_class").isin(ACTIVE, OUTSIDE)
-    return (
-        salted_lookup(events, windows, V.PROMOTION_KEY)
+    looked_up = (
+        events.filter(E.is_promotional())
+        .join(windows, V.PROMOTION_KEY, "left")
         .withColumn("promotion_class", window_class)
         .withColumns(
             {
@@ -67,6 +71,7 @@ def enforce_promotion_window(events: DataFrame, promotions: DataFrame) -> DataFr
         )
         .select(*events.columns, "promotion_class")
     )
+    return looked_up.unionByName(others)
 
 
 def counts_for_promotion() -> Column:

@@ -16,7 +16,6 @@ from stockflow.functions import keys as K
 from stockflow.functions import status as S
 from stockflow.functions import vocabulary as V
 from stockflow.operators import dedupe
-from stockflow.operators.lookup import salted_lookup
 from stockflow.operators.promotion import (
     apply_promotion_counters,
     counts_for_promotion,
@@ -163,11 +162,8 @@ def alerts(
         level,
     )
     unknown_promotion = _alert_rows(
-        salted_lookup(
-            accepted.filter(dedupe.has_event_id() & counts_for_promotion()),
-            promotions.select(*V.PROMOTION_KEY),
-            V.PROMOTION_KEY,
-            how="left_anti",
+        accepted.filter(dedupe.has_event_id() & counts_for_promotion()).join(
+            promotions.select(*V.PROMOTION_KEY), V.PROMOTION_KEY, "left_anti"
         ),
         F.lit(S.UNKNOWN_PROMOTION),
         F.lit(S.UNKNOWN_PROMOTION_MESSAGE),

@@ -406,6 +406,8 @@ _PROMOTIONS = f"""
 _SUMMARY = """
     SELECT * REPLACE (CAST(summary_date AS VARCHAR) AS summary_date) FROM summary"""
 
+_SLICE = " WHERE summary_date = DATE '2024-01-15' AND campaign_id = 'CAMP_1'"
+
 _RECON = "SELECT * REPLACE (CAST(recon_date AS VARCHAR) AS recon_date) FROM recon"
 
 ORACLE: dict[str, str] = {
@@ -553,8 +555,33 @@ ORACLE: dict[str, str] = {
         SELECT * REPLACE (CAST(recon_date AS VARCHAR) AS recon_date) FROM merged"""),
     "gold_job": _with(["recon"], _RECON),
     "mart_job": _with(["summary"], _SUMMARY),
+    "gold_job_slice": _with(["summary"], _SUMMARY + _SLICE),
+    "mart_job_slice": _with(["summary"], _SUMMARY + _SLICE),
+    "mart_job_reload": _with(["summary"], """
+        , days AS (
+            SELECT CAST(summary_date AS VARCHAR) AS business_date, campaign_id,
+                   count(*) AS rows,
+                   summary_date = DATE '2024-01-15' AND campaign_id = 'CAMP_1' AS lost
+            FROM summary GROUP BY ALL)
+        SELECT business_date, campaign_id, rows AS n, 'mart' AS what FROM days
+        UNION ALL
+        SELECT business_date, campaign_id, rows, 'staged' FROM days WHERE NOT lost
+        UNION ALL
+        SELECT business_date, campaign_id, CASE WHEN lost THEN rows ELSE 2 * rows END,
+               'logged' FROM days"""),
+    "load_failure_audit": _with(["summary"], """
+        SELECT 'redshift_gold_load_all_all_daily_inventory_summary' AS load_id,
+               'redshift_gold_load' AS pipeline_name,
+               'staging.daily_inventory_summary_stg' AS target_staging_table,
+               'mart.fact_daily_inventory_summary' AS target_mart_table,
+               CAST(NULL AS VARCHAR) AS business_date, CAST(NULL AS VARCHAR) AS campaign_id,
+               CAST(0 AS BIGINT) AS rows_loaded, 'FAILED' AS status,
+               'Duplicate keys in daily_inventory_summary_stg, date=None, campaign_id=None: '
+                   || 'duplicate_key_count=' || count(*) AS error_message
+        FROM summary"""),
     "load_audit": _with(["snapshots"], """
-        SELECT 'load_' || d.name AS load_id, 'redshift_gold_load' AS pipeline_name,
+        SELECT 'redshift_gold_load_all_all_' || d.name AS load_id,
+               'redshift_gold_load' AS pipeline_name,
                'staging.' || d.staging AS target_staging_table,
                'mart.' || d.fact AS target_mart_table,
                CAST(s.business_date AS VARCHAR) AS business_date, s.campaign_id,
@@ -628,5 +655,7 @@ ORACLE: dict[str, str] = {
     "stream_state": _with(["history", "inventory"], _CURRENT),
     "stream_history": _with(["history"], _HISTORY),
     "stream_alerts": _with(["history", "ledger", "promotions"], _ALERTS),
+    "stream_history_one_batch": _with(["history"], _HISTORY),
+    "stream_alerts_one_batch": _with(["history", "ledger", "promotions"], _ALERTS),
     "stream_promotions": _with(["promotions", "firsts"], _PROMOTIONS),
 }

@@ -74,16 +74,27 @@ def replace_staging(
     date: str | None = None,
     campaign_id: str | None = None,
 ) -> DataFrame:
-    """K9: replace the staged slices by the source rows and return them.
+    """K9: replace what the call covers by the source rows and return them.
 
-    A named slice without source rows is emptied, which a dynamic overwrite alone
-    would leave as it was.
+    A day and campaign, all days of a campaign, all campaigns of a day, or everything:
+    slices that the source no longer has are emptied, which a dynamic overwrite alone
+    would leave as they were.
     """
     spark = source.sparkSession
     path = lake.staging(dataset.staging_table)
-    if date is not None and campaign_id is not None:
-        values = {dataset.date_column: date, "campaign_id": campaign_id}
-        drop(spark, partition_dir(path, **values))
+    if date is None and campaign_id is None:
+        drop(spark, path)
+    elif date is not None:
+        names = {dataset.date_column: date}
+        if campaign_id is not None:
+            names["campaign_id"] = campaign_id
+        drop(spark, partition_dir(path, **names))
+    else:
+        staged = read_table(spark, path, dataset.gold_schema)
+        days = of_slice(staged, dataset.date_column, None, campaign_id)
+        for row in days.select(dataset.date_column).distinct().toLocalIterator():
+            names = {dataset.date_column: row[0], "campaign_id": campaign_id}
+            drop(spark, partition_dir(path, **names))
     overwrite_partitions(source, path, dataset.partitions)
     staged = read_table(spark, path, dataset.gold_schema)
     return of_slice(staged, dataset.date_column, date, campaign_id)

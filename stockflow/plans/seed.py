@@ -11,7 +11,6 @@ from stockflow import schemas
 from stockflow.functions import keys as K
 from stockflow.functions import status as S
 from stockflow.functions import vocabulary as V
-from stockflow.storage import partition_dir
 
 logger = logging.getLogger(__name__)
 
@@ -63,6 +62,25 @@ def opening_snapshot(initial: DataFrame, snapshot_date: str) -> DataFrame:
     )
 
 
+def write_snapshots(snapshots: DataFrame, root: str) -> None:
+    """Replace the snapshot of every day and campaign that occurs in the rows.
+
+    The lines hold all columns; the folders' names repeat the day and campaign.
+    """
+    names = schemas.column_names(schemas.SNAPSHOT)
+    rows = snapshots.select(
+        F.to_csv(F.struct(*names)).alias("value"), "snapshot_date", "campaign_id"
+    )
+    slices = ["snapshot_date", "campaign_id"]
+    (
+        rows.hint("rebalance", *map(F.col, slices))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*slices)
+        .text(root)
+    )
+
+
 def write_snapshot(
     initial: DataFrame, root: str, snapshot_date: str, campaign_id: str
 ) -> int:
@@ -74,12 +92,5 @@ def write_snapshot(
     if not count:
         logger.warning("no opening snapshot rows for campaign %s", campaign_id)
         return 0
-    path = partition_dir(root, snapshot_date=snapshot_date, campaign_id=campaign_id)
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    write_snapshots(rows, root)
     return count
-
-
-def write_snapshots(snapshots: DataFrame, root: str) -> None:
-    """K13 for many days and campaigns at once, in one job."""
-    columns = schemas.column_names(schemas.SNAPSHOT)
-    snapshots.select(*columns).write.mode("append").option("header", True).csv(root)

@@ -29,7 +29,7 @@ from stockflow.sources import driver_tables as D
 from stockflow.sources import messages as M
 from stockflow.sources import tables
 from stockflow.sources.config import read_snapshots
-from stockflow.storage import read_table, stored, work_path
+from stockflow.storage import drop, partition_dir, read_table, stored, work_path
 from stockflow.streaming import runner
 from stockflow.streaming import sinks as streams
 
@@ -461,8 +461,11 @@ def merge_reconciliation(spark, sf_dir):
     )
 
 
-def _gold_lake(spark, sf_dir) -> Lake:
-    """Silver, history and snapshots in a lake of their own, and gold from them."""
+def _gold_lake(spark, sf_dir, date=None, campaign_id=None) -> Lake:
+    """Silver, history and snapshots in a lake of their own, and gold from them.
+
+    The lake holds all days and campaigns; gold is made for those asked for.
+    """
     lake = Lake(work_path(spark, "lake"))
     events = D.typed_events(spark, sf_dir).withColumn(
         "kafka_key", F.lit(None).cast("string")
@@ -480,10 +483,13 @@ def _gold_lake(spark, sf_dir) -> Lake:
         ["business_date", "campaign_id", "batch_id"],
     )
     seed.write_snapshots(D.daily_snapshots(spark, sf_dir), lake.snapshots)
-    gold.run_gold(spark, lake)
+    gold.run_gold(spark, lake, date, campaign_id)
     return lake
 
 
+SLICE = {"date": "2024-01-15", "campaign_id": "CAMP_1"}
+
+
 @query
 def gold_job(spark, sf_dir):
     """Gold from stored lake tables, read back."""
@@ -493,38 +499,99 @@ def gold_job(spark, sf_dir):
     ).drop("created_at")
 
 
+@query
+def gold_job_slice(spark, sf_dir):
+    """Gold for one day and campaign out of a lake of many."""
+    lake = _gold_lake(spark, sf_dir, **SLICE)
+    return read_table(
+        spark, lake.gold_daily_summary, schemas.GOLD_DAILY_SUMMARY
+    ).drop("created_at")
+
+
+def _mart(spark, lake) -> DataFrame:
+    path = lake.mart(mart.DAILY_SUMMARY.fact_table)
+    return _without_stamps(read_table(spark, path, schemas.FACT_DAILY_SUMMARY))
+
+
 @query
 def mart_job(spark, sf_dir):
     """The mart after the load was run twice."""
     lake = _gold_lake(spark, sf_dir)
     mart.load_mart(spark, lake)
     mart.load_mart(spark, lake)
-    path = lake.mart(mart.DAILY_SUMMARY.fact_table)
-    return _without_stamps(read_table(spark, path, schemas.FACT_DAILY_SUMMARY))
+    return _mart(spark, lake)
 
 
 @query
-def load_audit(spark, sf_dir):
-    """Rows loaded per dataset, day and campaign."""
-    lake = Lake("lake")
-    started = datetime(2024, 1, 31, tzinfo=timezone.utc)
-    snapshots = D.daily_snapshots(spark, sf_dir)
-    logs = [
-        mart.success_log(
-            lake,
-            dataset,
-            snapshots.withColumnRenamed("snapshot_date", dataset.date_column),
-            "load",
-            started,
-        )
-        for dataset in mart.DATASETS
-    ]
-    return logs[0].unionByName(logs[1]).select(
-        "load_id", "pipeline_name", "target_staging_table", "target_mart_table",
+def mart_job_slice(spark, sf_dir):
+    """One day and campaign of all of gold, loaded into the mart."""
+    lake = _gold_lake(spark, sf_dir)
+    mart.load_mart(spark, lake, **SLICE)
+    return _mart(spark, lake)
+
+
+def _log(spark, lake) -> DataFrame:
+    return read_table(spark, lake.load_log, schemas.LOAD_LOG).select(
+        F.regexp_replace("load_id", "_[0-9a-f]{8}_", "_").alias("load_id"),
+        "pipeline_name", "target_staging_table", "target_mart_table",
         "business_date", "campaign_id", "rows_loaded", "status", "error_message",
+    )
+
+
+@query
+def load_audit(spark, sf_dir):
+    """The log of a load of the whole lake."""
+    lake = _gold_lake(spark, sf_dir)
+    mart.load_mart(spark, lake)
+    return _log(spark, lake)
+
+
+@query
+def mart_job_reload(spark, sf_dir):
+    """Gold loses a day and campaign between two loads of everything.
+
+    Staging forgets the slice, the log of the second load lacks it, the mart keeps it.
+    """
+    lake = _gold_lake(spark, sf_dir)
+    mart.load_mart(spark, lake)
+    for dataset in mart.DATASETS:
+        names = {dataset.date_column: SLICE["date"], "campaign_id": SLICE["campaign_id"]}
+        drop(spark, partition_dir(dataset.gold_path(lake), **names))
+    mart.load_mart(spark, lake)
+    staged = read_table(
+        spark, lake.staging(mart.DAILY_SUMMARY.staging_table), schemas.GOLD_DAILY_SUMMARY
+    )
+    logged = _log(spark, lake).filter("load_id LIKE '%daily_inventory_summary'")
+
+    def counted(rows: DataFrame, date: str, what: str, n) -> DataFrame:
+        return rows.groupBy(F.col(date).alias("business_date"), "campaign_id").agg(
+            n.cast("bigint").alias("n")
+        ).withColumn("what", F.lit(what))
+
+    return (
+        counted(staged, "summary_date", "staged", F.count("*"))
+        .unionByName(counted(_mart(spark, lake), "summary_date", "mart", F.count("*")))
+        .unionByName(counted(logged, "business_date", "logged", F.sum("rows_loaded")))
     )
 
 
+@query
+def load_failure_audit(spark, sf_dir):
+    """The log of a load that duplicate keys stop.
+
+    Every gold row of the first dataset is there twice; the error counts its keys.
+    """
+    lake = _gold_lake(spark, sf_dir)
+    path = mart.DAILY_SUMMARY.gold_path(lake)
+    again = stored(read_table(spark, path, schemas.GOLD_DAILY_SUMMARY), "again")
+    again.write.mode("append").partitionBy(*mart.DAILY_SUMMARY.partitions).parquet(path)
+    try:
+        mart.load_mart(spark, lake)
+    except merge.DuplicateKeys:
+        return _log(spark, lake)
+    raise AssertionError("the load accepted duplicate keys")
+
+
 @query
 def inventory_dashboard(spark, sf_dir):
     """V1."""
@@ -574,14 +641,16 @@ def seed_promotions(spark, sf_dir):
 def opening_snapshot(spark, sf_dir):
     """Written as CSV and read back."""
     root = work_path(spark, "snapshots")
-    seed.write_snapshots(
-        seed.opening_snapshot(D.initial_inventory(spark, sf_dir), "2024-01-01"), root
-    )
+    initial = D.initial_inventory(spark, sf_dir)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-01"):
+        seed.write_snapshots(seed.opening_snapshot(initial, day), root)
     return read_snapshots(spark, root, "2024-01-01")
 
 
 # --- streams ------------------------------------------------------------------------
 
+# State partitions of the streams below, whose state is small.
+STATE_PARTITIONS = 8
 _topics: dict[tuple[str, str], list[str]] = {}
 
 
@@ -616,7 +685,11 @@ def _run_once(spark, sf_dir, starter) -> Lake:
     lake = Lake(work_path(spark, "stream"))
     root = _topic(spark, sf_dir)[0].rsplit("/", 1)[0]
     events = E.events_from_messages(M.read_message_files(spark, f"{root}/*"))
-    runner.run_to_end(spark, [lambda: starter(events, lake, runner.AVAILABLE_NOW)])
+    runner.run_to_end(
+        spark,
+        [lambda: starter(events, lake, runner.AVAILABLE_NOW)],
+        partitions=STATE_PARTITIONS,
+    )
     return lake
 
 
@@ -634,11 +707,28 @@ def _run_state(spark, sf_dir) -> tuple[Lake, streams.StateSink]:
         delivered.write.parquet(f"{inbox}/delivery-{number}")
         events = E.events_from_messages(M.read_message_files(spark, f"{inbox}/*"))
         runner.run_to_end(
-            spark, [lambda: streams.start_state(events, sink, runner.AVAILABLE_NOW)]
+            spark,
+            [lambda: streams.start_state(events, sink, runner.AVAILABLE_NOW)],
+            partitions=STATE_PARTITIONS,
         )
     return lake, sink
 
 
+def _run_state_at_once(spark, sf_dir) -> Lake:
+    """The state stream over all deliveries in one micro-batch of several files."""
+    lake = Lake(work_path(spark, "stream"))
+    sink = streams.StateSink(spark, lake)
+    sink.seed(_inventory(spark, sf_dir), _promotions(spark, sf_dir))
+    root = _topic(spark, sf_dir)[0].rsplit("/", 1)[0]
+    events = E.events_from_messages(M.read_message_files(spark, f"{root}/*"))
+    runner.run_to_end(
+        spark,
+        [lambda: streams.start_state(events, sink, runner.AVAILABLE_NOW)],
+        partitions=STATE_PARTITIONS,
+    )
+    return lake
+
+
 @query
 def stream_bronze(spark, sf_dir):
     """K1, T8, T9, S1."""
@@ -677,7 +767,7 @@ def stream_velocity(spark, sf_dir):
 def stream_velocity_upsert(spark, sf_dir):
     """The last value of every window, closed or not."""
     lake = _run_once(spark, sf_dir, streams.start_velocity_upsert)
-    return read_table(spark, lake.velocity_scopes, schemas.VELOCITY_SCOPE).drop(
+    return streams.read_velocity_scopes(spark, lake).drop(
         "silver_processed_at", "updated_at"
     )
 
@@ -696,6 +786,20 @@ def stream_history(spark, sf_dir):
     return _history_output(tables.read_state_history(spark, lake))
 
 
+@query
+def stream_history_one_batch(spark, sf_dir):
+    """T4, K7: copies of an event share a micro-batch; the first arrival counts."""
+    lake = _run_state_at_once(spark, sf_dir)
+    return _history_output(tables.read_state_history(spark, lake))
+
+
+@query
+def stream_alerts_one_batch(spark, sf_dir):
+    """The alerts of the same."""
+    lake = _run_state_at_once(spark, sf_dir)
+    return _alerts_output(read_table(spark, lake.alerts, schemas.ALERTS))
+
+
 @query
 def stream_alerts(spark, sf_dir):
     """The alerts the stream has written."""

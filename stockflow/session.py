@@ -32,15 +32,3 @@ def prepare(spark: SparkSession) -> SparkSession:
     for name, value in RUNTIME.items():
         spark.conf.set(name, value)
     return spark
-
-
-def limit_state_partitions(spark: SparkSession) -> int:
-    """Shuffle partitions for a new stream on a local master.
-
-    Each one is a state store for the life of the checkpoint. A cluster keeps its
-    configured number; a local run gets no more than two per core.
-    """
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if not spark.sparkContext.master.startswith("local"):
-        return configured
-    return min(configured, 2 * spark.sparkContext.defaultParallelism)

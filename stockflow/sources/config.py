@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow import schemas
-from stockflow.storage import exists, partition_dir
+from stockflow.storage import matches, partition_dir
 
 
 def _csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -29,11 +29,15 @@ def read_initial_inventory(
 def read_promotion_config(
     spark: SparkSession, path: str, campaign_id: str | None = None
 ) -> DataFrame:
-    """Promotions with their windows as instants. No rows is an error."""
+    """Promotions with their windows as instants."""
     rows = _of_campaign(_csv(spark, path, schemas.PROMOTION_CONFIG), campaign_id)
-    promotions = rows.withColumns(
+    return rows.withColumns(
         {name: F.try_to_timestamp(name) for name in ["start_time", "end_time"]}
     )
+
+
+def require_promotions(promotions: DataFrame, path: str) -> DataFrame:
+    """S7 for the outgoing path, where a campaign without promotions is an error."""
     if promotions.isEmpty():
         raise ValueError(f"No promotion rows found in {path}")
     return promotions
@@ -47,21 +51,20 @@ def read_snapshots(
 ) -> DataFrame:
     """S3: opening snapshots below ``root``, by day and campaign if given.
 
-    The files hold the day and campaign as columns, so their folder names are not
-    taken as partition columns. A given day and campaign reads its own folder only.
+    The files lie in a folder per day and campaign and hold both as columns. A given day
+    or campaign chooses folders by their names, so nothing else is opened. Files may
+    begin with a header line. Without such a folder there are no rows.
     """
-    path = root
-    if snapshot_date is not None and campaign_id is not None:
-        own = partition_dir(
-            root, snapshot_date=snapshot_date, campaign_id=campaign_id
-        )
-        path = own if exists(spark, own) else root
-    rows = (
-        spark.read.schema(schemas.SNAPSHOT)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .csv(path)
-    )
+    names = partition_dir(
+        root,
+        snapshot_date="*" if snapshot_date is None else snapshot_date,
+        campaign_id="*" if campaign_id is None else campaign_id,
+    ).replace("=%2A", "=*")
+    if not matches(spark, names):
+        return spark.createDataFrame([], schemas.SNAPSHOT)
+    rows = spark.read.schema(schemas.SNAPSHOT).csv(names)
+    header = F.col("snapshot_date").isNull() & (F.col("campaign_id") == "campaign_id")
+    rows = rows.filter(~F.coalesce(header, F.lit(False)))
     if snapshot_date is not None:
         rows = rows.filter(F.col("snapshot_date") == F.to_date(F.lit(snapshot_date)))
     return _of_campaign(rows, campaign_id)

@@ -71,6 +71,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(location)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches a pattern with wildcards."""
+    system, location = _file_system(spark, pattern)
+    return bool(system.globStatus(location))
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a path recursively, if it exists."""
     system, location = _file_system(spark, path)

@@ -9,18 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from stockflow.functions.events import events_from_messages
-from stockflow.session import limit_state_partitions
 from stockflow.streaming import sinks as S
 
 AVAILABLE_NOW: dict[str, object] = {"availableNow": True}
 
 
 @contextmanager
-def state_partitions(spark: SparkSession):
-    """Start streams with a number of state partitions that fits the master."""
+def state_partitions(spark: SparkSession, number: int | None):
+    """Start streams with a given number of state partitions, or the session's own.
+
+    The number is kept for the life of a checkpoint.
+    """
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(limit_state_partitions(spark)))
+    if number is not None:
+        spark.conf.set(name, str(number))
     try:
         yield
     finally:
@@ -28,16 +31,20 @@ def state_partitions(spark: SparkSession):
 
 
 def start_all(
-    messages: DataFrame, sink: S.StateSink, trigger: S.Trigger = None
+    messages: DataFrame,
+    sink: S.StateSink,
+    trigger: S.Trigger = None,
+    partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """The six queries over one derived stream.
 
-    ``trigger`` replaces the default triggers of all of them.
+    ``trigger`` replaces the default triggers of all of them, ``partitions`` the
+    session's number of state partitions.
     """
     events = events_from_messages(messages)
     lake = sink.lake
     keyed = trigger or S.KEYED_TRIGGER
-    with state_partitions(messages.sparkSession):
+    with state_partitions(messages.sparkSession, partitions):
         return [
             S.start_state(events, sink, keyed),
             S.start_bronze(events, lake, trigger),
@@ -52,12 +59,13 @@ def run_to_end(
     spark: SparkSession,
     starters: Iterable[Callable[[], StreamingQuery]],
     timeout: int | None = None,
+    partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start queries that stop by themselves and wait for all of them.
 
     A failure is raised. After ``timeout`` seconds the rest is stopped.
     """
-    with state_partitions(spark):
+    with state_partitions(spark, partitions):
         queries = [start() for start in starters]
     for query in queries:
         if timeout is None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,13 +17,13 @@ from stockflow.operators.running import BLOCK_OFFSETS
 from stockflow.operators.state import accepted_columns, apply_events
 from stockflow.operators.velocity import sales_velocity, velocity_scope_rows
 from stockflow.sinks.keyed_log import BATCHES_PER_BASE, KeyedLog
-from stockflow.sinks.partitions import merge_upsert, overwrite_partitions
+from stockflow.sinks.partitions import overwrite_partitions
 from stockflow.sinks.projections import (
     bronze_rows,
     silver_invalid_rows,
     silver_movement_rows,
 )
-from stockflow.storage import exists
+from stockflow.storage import exists, read_table
 
 # Fixed value: trigger of the keyed sinks; the lake sinks use Spark's default.
 KEYED_TRIGGER = {"processingTime": "15 seconds"}
@@ -102,8 +102,9 @@ def start_velocity(events: DataFrame, lake: Lake, trigger: Trigger = None):
 class VelocityUpsert:
     """K6: keep the last value per scope and window.
 
-    The watermark limits a batch to recent windows, so the merge rewrites a few
-    hours' partitions. Values are absolute, so a replay changes nothing.
+    A batch writes its absolute values to a folder of its own and reads nothing, so a
+    replay repeats the same rows in the same place, and a crash loses no other scope.
+    ``read_velocity_scopes`` takes the newest value per key.
     """
 
     def __init__(self, lake: Lake):
@@ -115,26 +116,34 @@ class VelocityUpsert:
             velocity_scope_rows(batch)
             .withColumn("silver_processed_at", now)
             .withColumn("updated_at", now)
-            .persist()
         )
-        try:
-            if rows.isEmpty():
-                return
-            merge_upsert(
-                self.lake.velocity_scopes,
-                schemas.VELOCITY_SCOPE,
-                rows,
-                ["velocity_scope", "window_start", "window_date", "window_hour"],
-                ["window_date", "window_hour"],
-            )
-        finally:
-            rows.unpersist()
+        (
+            rows.hint("rebalance", F.col("window_date"), F.col("window_hour"))
+            .write.mode("overwrite")
+            .partitionBy("window_date", "window_hour")
+            .parquet(f"{self.lake.velocity_scopes}/batch_id={batch_id}")
+        )
+
+
+def read_velocity_scopes(spark: SparkSession, lake: Lake) -> DataFrame:
+    """K6: the newest value per scope and window; days and hours prune folders."""
+    newest = Window.partitionBy(
+        "velocity_scope", "window_start", "window_date", "window_hour"
+    ).orderBy(F.desc("batch_id"))
+    rows = read_table(
+        spark, lake.velocity_scopes, f"{schemas.VELOCITY_SCOPE}, batch_id BIGINT"
+    )
+    return (
+        rows.withColumn("_rank", F.row_number().over(newest))
+        .filter(F.col("_rank") == 1)
+        .drop("_rank", "batch_id")
+    )
 
 
 def start_velocity_upsert(
     events: DataFrame, lake: Lake, trigger: Trigger = KEYED_TRIGGER
 ):
-    """The same aggregate as K4 in update mode, merged by key."""
+    """The same aggregate as K4 in update mode, the newest value per key."""
     return _start(
         sales_velocity(events),
         lake.checkpoint("sales_velocity_5m"),
@@ -276,13 +285,12 @@ def start_state(
     events: DataFrame,
     sink: StateSink,
     trigger: Trigger = KEYED_TRIGGER,
-    dedupe_horizon: str | None = None,
 ):
     """K5: first deliveries, applied batch by batch."""
     return _start(
-        first_deliveries_stream(events, dedupe_horizon),
+        first_deliveries_stream(events),
         sink.lake.checkpoint("current_state"),
-        "append",
+        "update",
         trigger,
         lambda writer: writer.foreachBatch(sink).start(),
     )

@@ -16,11 +16,13 @@ from stockflow.sources.config import (
     read_initial_inventory,
     read_promotion_config,
     read_snapshots,
+    require_promotions,
 )
 from stockflow.sources.tables import read_state_history, valid_movements
 from stockflow.operators.movement import net_movement
-from stockflow.storage import partition_dir, read_table
+from stockflow.storage import drop, partition_dir, read_table, stored
 from tests.conftest import values
+from tests.test_operators import plan_of
 
 SF = "/root/testdata/sf0.01"
 DAY = date(2024, 1, 15)
@@ -145,6 +147,24 @@ def test_snapshot_round_trip_by_slice(spark, tmp_path):
     ]
     assert read_snapshots(spark, root).count() == 3
     assert read_snapshots(spark, root, "2024-01-16").count() == 1
+    assert read_snapshots(spark, root, "2024-01-17").count() == 0
+    everything = read_snapshots(spark, root)
+    seed.write_snapshots(stored(everything, "again"), root)
+    seed.write_snapshot(rows, root, "2024-01-15", "007")
+    assert read_snapshots(spark, root).count() == 3
+    own = partition_dir(root, snapshot_date="2024-01-15", campaign_id="007")
+    files = read_snapshots(spark, root, "2024-01-15", "007").inputFiles()
+    assert files and all(own in name for name in files)
+
+
+def test_snapshot_files_may_begin_with_a_header(spark, tmp_path):
+    folder = tmp_path / "s" / "snapshot_date=2024-01-15" / "campaign_id=C"
+    folder.mkdir(parents=True)
+    (folder / "part.csv").write_text(
+        ",".join(schemas.column_names(schemas.SNAPSHOT)) + "\n2024-01-15,C,S,W,\"P, 1\",5,2\n"
+    )
+    (row,) = read_snapshots(spark, str(tmp_path / "s"), "2024-01-15", "C").collect()
+    assert (row.product_name, row.opening_sellable_stock) == ("P, 1", 5)
 
 
 def test_promotion_config_must_have_rows(spark, tmp_path):
@@ -157,8 +177,10 @@ def test_promotion_config_must_have_rows(spark, tmp_path):
         )
     (row,) = read_promotion_config(spark, path).collect()
     assert float(row.sale_price) == 10.0 and row.start_time is not None
+    nobody = read_promotion_config(spark, path, "other")
+    assert nobody.isEmpty()
     with pytest.raises(ValueError, match="No promotion rows"):
-        read_promotion_config(spark, path, "other")
+        require_promotions(nobody, path)
 
 
 def test_a_day_without_history_has_no_rows(spark, lake):
@@ -288,11 +310,49 @@ def test_merge_rewrites_only_touched_partitions(spark, lake):
     ]
 
 
-@pytest.mark.parametrize("listed", [1000, 1])
-def test_merge_keeps_null_partitions_and_other_combinations(
-    spark, lake, monkeypatch, listed
-):
-    monkeypatch.setattr(partitions, "MAX_LISTED_PARTITIONS", listed)
+def test_a_merge_that_dies_is_finished_by_the_next(spark, lake, monkeypatch):
+    path, schema = lake.mart("t"), "k STRING, v INT, p STRING"
+
+    def merge(*data):
+        rows = spark.createDataFrame(list(data), schema)
+        merge_upsert(path, schema, rows, ["k", "p"], ["p"])
+
+    merge(("a", 1, "x"), ("b", 2, "x"), ("c", 3, "y"))
+
+    def die(*_):
+        # A partition is gone and not yet replaced.
+        drop(spark, partition_dir(path, p="x"))
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(partitions, "overwrite_partitions", die)
+        with pytest.raises(RuntimeError):
+            merge(("a", 9, "x"))
+    merge(("d", 4, "y"))
+    assert values(read_table(spark, path, schema), "k", "v", "p") == [
+        ("a", 9, "x"), ("b", 2, "x"), ("c", 3, "y"), ("d", 4, "y"),
+    ]
+    with monkeypatch.context() as patched:
+        patched.setattr(partitions, "merged", die)
+        with pytest.raises(RuntimeError):
+            merge(("a", 0, "y"))
+
+
+@pytest.mark.parametrize("touched", [3, 3000])
+def test_any_number_of_partitions_prunes_the_scan(spark, lake, touched):
+    path = lake.mart("t")
+    rows = spark.range(20).select(
+        F.col("id").alias("k"), (F.col("id") % 10).cast("int").alias("p")
+    )
+    rows.write.partitionBy("p").parquet(path)
+    source = stored(spark.range(touched).select((F.col("id") + 2).cast("int").alias("p")), "touched")
+    target = spark.read.schema("k BIGINT, p INT").parquet(path)
+    plan = plan_of(partitions._in_partitions(target, source, ["p"]))
+    assert "p#" in plan and ">= 2" in plan.split("PartitionFilters")[1]
+    assert "dynamicpruning" in plan
+
+
+def test_merge_keeps_null_partitions_and_other_combinations(spark, lake):
     path, schema = lake.mart("t"), "k STRING, v INT, p STRING, q INT"
 
     def merge(*data):

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from stockflow.functions import events as E
 from stockflow.operators import dedupe, merge, promotion, velocity
 from stockflow.operators.latest import latest_state
-from stockflow.operators.lookup import salted_lookup
 from stockflow.operators.movement import net_movement
 from stockflow.operators.running import running_levels
 from stockflow.sources.tables import valid_movements
@@ -91,28 +90,6 @@ def test_blocked_running_levels_equal_a_plain_loop(spark, rows, block):
     assert found == ordered(expected)
 
 
-@RELAXED
-@given(
-    keys=st.lists(st.sampled_from(["hot", "hot", "cold", "absent", None]), max_size=30),
-    salts=st.sampled_from([1, 4]),
-)
-def test_salted_lookup_equals_a_plain_join(spark, keys, salts):
-    rows = spark.createDataFrame(
-        [(key, 0, offset) for offset, key in enumerate(keys)],
-        "k STRING, kafka_partition INT, kafka_offset BIGINT",
-    )
-    lookup = spark.createDataFrame([("hot", 1), ("cold", 2)], "k STRING, v INT")
-    found = salted_lookup(rows, lookup, ["k"], salts=salts)
-    known = {"hot": 1, "cold": 2}
-    assert values(found, "kafka_offset", "v") == ordered(
-        (offset, known.get(key)) for offset, key in enumerate(keys)
-    )
-    missing = salted_lookup(rows, lookup, ["k"], how="left_anti", salts=salts)
-    assert values(missing, "kafka_offset") == ordered(
-        (offset,) for offset, key in enumerate(keys) if key not in known
-    )
-
-
 @RELAXED
 @given(
     sold=st.lists(
@@ -272,7 +249,6 @@ def test_no_plan_crosses_or_is_broadcast_by_hint(spark):
         openings = spark.createDataFrame([("k", 1)], "k STRING, opening INT")
         for plan in (
             plan_of(running_levels(rows, openings, ["k"], "moved")),
-            plan_of(salted_lookup(rows, openings, ["k"])),
         ):
             assert "SortMergeJoin" in plan
             assert "Broadcast" not in plan and "Cartesian" not in plan
