@@ -12,6 +12,7 @@ from stockflow.llm import (
     host_rules,
     lm,
     mixing,
+    oracle,
     packing,
     page_text,
     secret_scan,
@@ -23,7 +24,7 @@ from stockflow.llm.ship import ship
 from stockflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op3_host_rules": oracle.HOST_RULES, "op8_site_lines": oracle.SITE_LINES}
 
 
 def query(function):
