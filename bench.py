@@ -15,6 +15,7 @@ import time
 from pyspark.sql import SparkSession
 
 from stockflow.queries import QUERIES
+from stockflow.storage import set_shared_folder
 
 SF_DIR = os.getenv("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.getenv("BENCH_CPUS", "8")
@@ -55,6 +56,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    set_shared_folder(spark)
     seconds = {}
     for name in BATCH:
         run(spark, name)

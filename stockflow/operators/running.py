@@ -78,8 +78,3 @@ def running_levels(
     return within_block_sum(blocked, keys, value).join(
         carries, [*keys, "kafka_partition", "_block"], "left"
     ).drop("_block")
-
-
-def arrival_position():
-    """Arrival order as one comparable value."""
-    return F.struct(*V.ARRIVAL)

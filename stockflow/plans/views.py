@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow import schemas
@@ -62,30 +62,24 @@ def reconciliation_summary(facts: DataFrame) -> DataFrame:
 def monthly_summary(facts: DataFrame) -> DataFrame:
     """Monthly sums, the first opening and the latest closing.
 
-    First and last rows are ordered by day, then load time. Both windows share one
-    partitioning and the final aggregation reuses it. A group holds the days of
-    one month for one key, so it stays small.
+    First and last rows are ordered by day, then load time. They are extremes, so
+    everything combines on the map side in one aggregation without a sort.
     """
     group = ["month_date", *V.STOCK_KEY]
-    monthly = facts.withColumn("month_date", F.trunc("summary_date", "month"))
-    first = Window.partitionBy(*group).orderBy(
-        F.asc("summary_date"), F.asc("loaded_at")
-    )
-    last = Window.partitionBy(*group).orderBy(
-        F.desc("summary_date"), F.desc("loaded_at")
-    )
-    ranked = monthly.withColumn("_first", F.row_number().over(first)).withColumn(
-        "_last", F.row_number().over(last)
-    )
-
-    def at(rank: str, name: str):
-        return F.max(F.when(F.col(rank) == 1, F.col(name)))
-
-    return ranked.groupBy(*group).agg(
-        at("_last", "product_name").alias("product_name"),
-        *[F.sum(name).alias(total) for total, name in MONTHLY_SUMS.items()],
-        at("_first", "opening_sellable_stock").alias("first_opening_sellable_stock"),
-        at("_last", "closing_sellable_stock").alias("latest_closing_sellable_stock"),
+    when = F.struct("summary_date", "loaded_at")
+    return (
+        facts.withColumn("month_date", F.trunc("summary_date", "month"))
+        .groupBy(*group)
+        .agg(
+            F.max_by("product_name", when).alias("product_name"),
+            *[F.sum(name).alias(total) for total, name in MONTHLY_SUMS.items()],
+            F.min_by("opening_sellable_stock", when).alias(
+                "first_opening_sellable_stock"
+            ),
+            F.max_by("closing_sellable_stock", when).alias(
+                "latest_closing_sellable_stock"
+            ),
+        )
     )
 
 

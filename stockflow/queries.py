@@ -797,14 +797,14 @@ def stream_history_one_batch(spark, sf_dir):
 def stream_alerts_one_batch(spark, sf_dir):
     """The alerts of the same."""
     lake = _run_state_at_once(spark, sf_dir)
-    return _alerts_output(read_table(spark, lake.alerts, schemas.ALERTS))
+    return _alerts_output(tables.read_alerts(spark, lake))
 
 
 @query
 def stream_alerts(spark, sf_dir):
     """The alerts the stream has written."""
     lake, _ = _run_state(spark, sf_dir)
-    return _alerts_output(read_table(spark, lake.alerts, schemas.ALERTS))
+    return _alerts_output(tables.read_alerts(spark, lake))
 
 
 @query

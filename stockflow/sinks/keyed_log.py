@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockflow.storage import exists
+from stockflow.storage import drop, exists
 
 BATCHES_PER_BASE = 50
 
@@ -86,6 +86,15 @@ class KeyedLog:
             .drop("_rank", "_version")
         )
 
+    def _forget(self, base: int) -> None:
+        """Drop a base and its changes; two newer bases cover any replay."""
+        if base < 0:
+            return
+        start = base * self.batches_per_base
+        for number in range(start, start + self.batches_per_base):
+            drop(self.spark, self._changes(number))
+        drop(self.spark, self._base(base))
+
     def before(self, batch_id: int, only: DataFrame | None = None) -> DataFrame:
         """Rows as they stand when the batch begins, writing a base when due.
 
@@ -95,6 +104,7 @@ class KeyedLog:
         if base and not since_base:
             everything = self._rows(base - 1, batch_id, None)
             self._write(everything, 2 * batch_id - 1, self._base(base), "overwrite")
+            self._forget(base - 2)
         return self._rows(base, batch_id, only)
 
     def after(self, batch_id: int) -> DataFrame:

@@ -43,6 +43,7 @@ def write_dead_letters(events: DataFrame, path: str) -> None:
         dead_letters(events)
         .withColumn("failed_at", F.current_timestamp())
         .withColumn("date", F.to_date("failed_at"))
+        .withColumn("failed_at", K.iso_utc("failed_at"))
     )
     failed.write.mode("append").partitionBy("date").json(path)
 

@@ -46,6 +46,23 @@ def read_valid_movements(
     return valid_movements(movements, date, campaign_id)
 
 
+def last_finished(spark: SparkSession, lake: Lake) -> int | None:
+    """The newest batch of the state stream whose outputs are complete, if any."""
+    marks = read_table(spark, lake.finished_batches, "id BIGINT")
+    return marks.agg(F.max("id")).first()[0]
+
+
+def finished(spark: SparkSession, lake: Lake, rows: DataFrame) -> DataFrame:
+    """Rows of finished batches; all rows of a lake that no stream has written."""
+    last = last_finished(spark, lake)
+    return rows if last is None else rows.filter(F.col("batch_id") <= last)
+
+
+def read_alerts(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Alerts of finished batches."""
+    return finished(spark, lake, read_table(spark, lake.alerts, schemas.ALERTS))
+
+
 def read_state_history(
     spark: SparkSession,
     lake: Lake,
@@ -54,6 +71,7 @@ def read_state_history(
 ) -> DataFrame:
     """State history of a day. A day without history has no rows."""
     history = read_table(spark, lake.state_history, schemas.STATE_HISTORY)
+    history = finished(spark, lake, history)
     return of_slice(history, "business_date", date, campaign_id)
 
 

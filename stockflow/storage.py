@@ -10,25 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 # Characters Spark escapes in partition folder names.
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(code) for code in range(1, 32)}
 
-_local_folders: dict[str, str] = {}
+_folders: dict[str, str] = {}
+
+
+def set_shared_folder(spark: SparkSession, folder: str | None = None) -> None:
+    """Name the folder for a session without ``spark.checkpoint.dir``, as in tests.
+
+    Without a name it is a new temporary folder, which only a local master may use.
+    A session that has the setting keeps it.
+    """
+    application = spark.sparkContext.applicationId
+    if spark.conf.get("spark.checkpoint.dir", None) or application in _folders:
+        return
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        folder = tempfile.mkdtemp(prefix="stockflow-")
+    _folders[application] = folder.rstrip("/")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master without that setting gets a temporary folder, which is then
-    kept for the session. A cluster without it is an error: a machine-local folder
-    would not be seen by the executors.
+    Without it, and without a call of ``set_shared_folder``, this is an error: a
+    machine-local folder would not be seen by the executors.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    folder = folder or _folders.get(spark.sparkContext.applicationId)
+    if not folder:
         raise ValueError("spark.checkpoint.dir must name a shared folder")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="stockflow-")
-    return _local_folders[application]
+    return folder.rstrip("/")
 
 
 def work_path(spark: SparkSession, name: str) -> str:

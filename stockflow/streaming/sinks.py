@@ -23,7 +23,8 @@ from stockflow.sinks.projections import (
     silver_invalid_rows,
     silver_movement_rows,
 )
-from stockflow.storage import exists, read_table
+from stockflow.sources.tables import last_finished
+from stockflow.storage import drop, exists, read_table
 
 # Fixed value: trigger of the keyed sinks; the lake sinks use Spark's default.
 KEYED_TRIGGER = {"processingTime": "15 seconds"}
@@ -210,19 +211,33 @@ class StateSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         accepted = self._accept(batch, batch_id)
+        # Both are read several times; the logs are scanned once.
         inventory = self.inventory.before(
             batch_id, accepted.select(*V.STOCK_KEY).distinct()
-        )
+        ).persist()
         promotions = self.promotions.before(
             batch_id, accepted.select(*V.PROMOTION_KEY).distinct()
-        )
+        ).persist()
+        try:
+            self._take(accepted, inventory, promotions, batch_id)
+        finally:
+            inventory.unpersist()
+            promotions.unpersist()
+        self._finish(batch_id)
+
+    def _take(
+        self,
+        accepted: DataFrame,
+        inventory: DataFrame,
+        promotions: DataFrame,
+        batch_id: int,
+    ) -> None:
         processed_at = accepted.agg(F.max("processed_at")).first()[0]
         if processed_at is None:
             self.inventory.write(inventory.limit(0), batch_id)
             self.promotions.write(promotions.limit(0), batch_id)
         else:
             self._apply(accepted, inventory, promotions, F.lit(processed_at), batch_id)
-        self._finish(batch_id)
 
     def _apply(
         self,
@@ -257,16 +272,16 @@ class StateSink:
 
     def _finish(self, batch_id: int) -> None:
         """Mark the batch, so that readers take up complete batches only."""
+        marks = self.lake.finished_batches
         self.spark.range(batch_id, batch_id + 1).write.mode("overwrite").parquet(
-            f"{self.lake.finished_batches}/batch_id={batch_id}"
+            f"{marks}/batch_id={batch_id}"
         )
+        # The mark before last is no longer needed; one is always there.
+        drop(self.spark, f"{marks}/batch_id={batch_id - 2}")
 
     def last_finished(self) -> int | None:
         """The newest batch whose outputs are complete."""
-        if not exists(self.spark, self.lake.finished_batches):
-            return None
-        done = self.spark.read.schema("id BIGINT").parquet(self.lake.finished_batches)
-        return done.agg(F.max("id")).first()[0]
+        return last_finished(self.spark, self.lake)
 
     def _current(self, table: KeyedLog) -> DataFrame:
         last = self.last_finished()

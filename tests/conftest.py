@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from stockflow import schemas
 from stockflow.lake import Lake
 from stockflow.session import prepare
+from stockflow.storage import set_shared_folder
 
 
 @pytest.fixture(scope="session")
@@ -23,6 +24,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    set_shared_folder(session)
     yield prepare(session)
     session.stop()
 
