@@ -308,7 +308,9 @@ def read(archives: DataFrame, path_column: str = "path") -> DataFrame:
     size and digest are those its header states. Archives are read as streams, by as
     many tasks as there are archives at most.
     """
-    paths = archives.select(F.col(path_column).alias("path")).repartition("path")
+    # A given number keeps Spark from putting the few short rows into one task.
+    paths = archives.select(F.col(path_column).alias("path"))
+    paths = paths.repartitionByRange(max(1, paths.count()), "path")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[dict] = []
