@@ -160,10 +160,10 @@ def keep_good(documents: DataFrame, id_column: str = "doc_id", text_column: str
     takes all of them along.
     """
     lost = judged(documents, id_column, text_column, host_column).where(~F.col("kept"))
-    kept = without(documents, id_column, lost.select("id"))
-    alone = measures(F.col(text_column))
     named = F.col(id_column).isNotNull()
+    kept = without(documents.where(named), id_column, lost.select("id"))
+    alone = measures(F.col(text_column))
     good = (alone["n_words"] >= MIN_WORDS) & (
         100 * alone["n_repeat_words"] <= MAX_REPEAT_PERCENT * alone["n_words"]
     )
-    return kept.where(named | good)
+    return kept.union(documents.where(~named).where(good))
