@@ -83,6 +83,15 @@ def monthly_summary(facts: DataFrame) -> DataFrame:
     )
 
 
+# View names.
+VIEWS = (
+    "vw_inventory_dashboard",
+    "vw_reconciliation_dashboard",
+    "vw_reconciliation_summary",
+    "vw_monthly_campaign_sku_inventory_summary",
+)
+
+
 def create_views(spark: SparkSession, lake: Lake) -> None:
     """Register the four views as temporary views over the mart tables."""
     summary = read_table(
@@ -91,12 +100,11 @@ def create_views(spark: SparkSession, lake: Lake) -> None:
     recon = read_table(
         spark, lake.mart(RECONCILIATION.fact_table), schemas.FACT_RECONCILIATION
     )
-    # View names.
-    views = {
-        "vw_inventory_dashboard": inventory_dashboard(summary),
-        "vw_reconciliation_dashboard": reconciliation_dashboard(recon),
-        "vw_reconciliation_summary": reconciliation_summary(recon),
-        "vw_monthly_campaign_sku_inventory_summary": monthly_summary(summary),
-    }
-    for name, view in views.items():
+    rows = (
+        inventory_dashboard(summary),
+        reconciliation_dashboard(recon),
+        reconciliation_summary(recon),
+        monthly_summary(summary),
+    )
+    for name, view in zip(VIEWS, rows, strict=True):
         view.createOrReplaceTempView(name)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 import pytest
@@ -8,6 +9,8 @@ from stockflow import schemas
 from stockflow.jobs import arguments
 from stockflow.jobs import gold as gold_job
 from stockflow.jobs import mart as mart_job
+from stockflow.jobs import outgoing as outgoing_job
+from stockflow.jobs import report as report_job
 from stockflow.jobs import seed as seed_job
 from stockflow.jobs import stream as stream_job
 from stockflow.lake import Lake
@@ -109,6 +112,38 @@ def test_records_and_dead_letters(spark, topic, tmp_path):
     assert failed.first().error_message.endswith("missing sku_id")
 
 
+def test_outgoing_records_and_dead_letters_from_files(spark, lake, tmp_path):
+    (tmp_path / "promotions.csv").write_text(PROMOTIONS)
+    sent = [
+        event(event_id="in", promotion_id="P", promotion_applied=True,
+              event_time="2024-01-15T11:00:00Z"),
+        event(event_id="out", promotion_id="P", promotion_applied=True,
+              event_time="2024-01-16T11:00:00Z"),
+        event(event_id="unknown", promotion_id="Q", promotion_applied=True),
+        event(event_id="plain"),
+        event(event_id="lost", warehouse_id=None),
+    ]
+    (tmp_path / "events.json").write_text("\n".join(map(json.dumps, sent)))
+    arguments_ = [
+        "--campaign-id", "C", "--lake-root", lake.root,
+        "--events", str(tmp_path / "events.json"),
+        "--promotion-config", str(tmp_path / "promotions.csv"),
+    ]
+    outgoing_job.main([*arguments_, "--records", str(tmp_path / "records")])
+    found = {}
+    for row in spark.read.parquet(str(tmp_path / "records")).collect():
+        value = json.loads(row.value)
+        found[value["event_id"]] = (row.key, value["unit_price"], value.get("promotion_id"))
+    assert found == {
+        "in": ("C|S|W", 10.0, "P"), "out": ("C|S|W", 15.0, None),
+        "unknown": ("C|S|W", 9.5, None), "plain": ("C|S|W", 9.5, None),
+    }
+    (failed,) = spark.read.json(lake.failed_records).collect()
+    assert failed.event.event_id == "lost" and failed.failed_at.endswith("Z")
+    with pytest.raises(ValueError, match="No promotion rows"):
+        outgoing_job.main([*arguments_[:1], "nobody", *arguments_[2:], "--records", "x"])
+
+
 INVENTORY = """campaign_id,sku_id,warehouse_id,product_name,initial_sellable_stock,low_stock_threshold
 C,S,W,Phone,20,15
 C,T,W,Tablet,9,2
@@ -160,6 +195,13 @@ def test_a_day_from_seed_to_view(spark, lake, topic, tmp_path):
         "sku_id", "opening_sellable_stock", "total_cod_sold_qty",
         "total_replenished_qty", "closing_sellable_stock", "event_count",
     ) == [("S", 20, 9, 0, 11, 3), ("T", 9, 0, 5, 14, 1)]
+    output = str(tmp_path / "report")
+    report_job.main(
+        ["--view", "vw_reconciliation_summary", "--output", output, "--lake-root", lake.root]
+    )
+    assert values(spark.read.parquet(output), "status", "sku_warehouse_count") == [
+        ("MATCH", 1), ("MISMATCH", 1)
+    ]
     assert values(sink.current_promotions(), "promotion_consumed_qty") == [(2,)]
     log = read_table(spark, lake.load_log, schemas.LOAD_LOG)
     assert values(log, "target_mart_table", "rows_loaded", "status") == [
