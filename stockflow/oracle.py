@@ -505,6 +505,8 @@ ORACLE: dict[str, str] = {
     "sales_velocity_5m": _with(["velocity"], _VELOCITY),
     "velocity_scope_rows": _with(["velocity"], _SCOPES),
     "state_history": _with(["history"], _HISTORY),
+    "history_ids": _with(["history"], """
+        SELECT event_id, sha256('history#' || event_id) AS history_id FROM history"""),
     "current_inventory": _with(["history", "inventory"], _CURRENT),
     "alerts": _with(["history", "ledger", "promotions"], _ALERTS),
     "promotion_metrics": _with(["promotions", "firsts"], _PROMOTIONS),
@@ -659,3 +661,5 @@ ORACLE: dict[str, str] = {
     "stream_alerts_one_batch": _with(["history", "ledger", "promotions"], _ALERTS),
     "stream_promotions": _with(["promotions", "firsts"], _PROMOTIONS),
 }
+ORACLE["seed_inventory_csv"] = ORACLE["seed_inventory"]
+ORACLE["seed_promotions_csv"] = ORACLE["seed_promotions"]

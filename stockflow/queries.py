@@ -28,7 +28,11 @@ from stockflow.sinks import partitions, projections, records
 from stockflow.sources import driver_tables as D
 from stockflow.sources import messages as M
 from stockflow.sources import tables
-from stockflow.sources.config import read_snapshots
+from stockflow.sources.config import (
+    read_initial_inventory,
+    read_promotion_config,
+    read_snapshots,
+)
 from stockflow.storage import drop, partition_dir, read_table, stored, work_path
 from stockflow.streaming import runner
 from stockflow.streaming import sinks as streams
@@ -321,6 +325,12 @@ def state_history(spark, sf_dir):
     return _history_output(_history(spark, sf_dir))
 
 
+@query
+def history_ids(spark, sf_dir):
+    """The stable ids of history rows, which a replay repeats."""
+    return _history(spark, sf_dir).select("event_id", "history_id")
+
+
 @query
 def current_inventory(spark, sf_dir):
     """Stock per key after all events."""
@@ -637,6 +647,26 @@ def seed_promotions(spark, sf_dir):
     return _promotions_output(_promotions(spark, sf_dir))
 
 
+def _as_csv(spark, rows, name) -> str:
+    path = work_path(spark, name)
+    rows.write.option("header", True).csv(path)
+    return path
+
+
+@query
+def seed_inventory_csv(spark, sf_dir):
+    """The same from configuration files."""
+    path = _as_csv(spark, D.initial_inventory(spark, sf_dir), "inventory")
+    return _inventory_output(seed.seed_inventory(read_initial_inventory(spark, path)))
+
+
+@query
+def seed_promotions_csv(spark, sf_dir):
+    """The same from configuration files."""
+    path = _as_csv(spark, D.promotion_config(spark, sf_dir), "promotions")
+    return _promotions_output(seed.seed_promotions(read_promotion_config(spark, path)))
+
+
 @query
 def opening_snapshot(spark, sf_dir):
     """Written as CSV and read back."""
