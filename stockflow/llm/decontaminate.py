@@ -1,4 +1,4 @@
-"""Benchmark items found in documents: SimHash windows, multi-index search, verification."""
+"""Benchmark items found in documents: windows that share enough shingles, verification."""
 
 from __future__ import annotations
 
@@ -15,11 +15,11 @@ from stockflow.llm.rows import without
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# Similarity 0.8 puts about 10 of 64 bits apart, 15 is two deviations more.
+# Default of the index by bits. Items are not searched by it: at similarity 0.8 windows are
+# about 10 of 64 bits apart, and no radius short of all bits is sure to keep them.
 RADIUS = 15
 # Bytes of benchmark text that one scan carries; larger benchmarks take several scans.
 BLOCK_BYTES = 16 << 20
-_WINDOWS = 16_384
 _FACTORS = W.mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -90,11 +90,11 @@ class Benchmark:
                 sized.setdefault(len(hashed), []).append((key, shingles(hashed)))
         self.sizes = {}
         for size, group in sorted(sized.items()):
-            prints = [
-                window_prints(values, np.zeros(1, np.int64), len(values)) for _, values in group
-            ]
-            known = np.unique(np.concatenate([values for _, values in group]))
-            self.sizes[size] = (group, MultiIndex(np.concatenate(prints)), known)
+            each = [np.unique(values) for _, values in group]
+            keys = np.concatenate(each)
+            order = np.argsort(keys, kind="stable")
+            items = np.repeat(np.arange(len(group)), [len(values) for values in each])[order]
+            self.sizes[size] = (group, (keys[order], items), np.unique(keys))
         parts = [known for _, _, known in self.sizes.values()]
         self.known = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
         width = max(16, int(len(self.known) * 16).bit_length())
@@ -128,31 +128,34 @@ class Benchmark:
                 values = short.setdefault(SHINGLE, shingles(hashed))
             if not len(values):
                 continue
-            place = np.flatnonzero(self._shared(values, known))
-            if not len(place):
-                continue
-            length = min(size - width + 1, len(values))
-            low = np.maximum(place - length + 1, 0)
-            high = np.minimum(place, len(values) - length)
-            starts = np.unique(W.ragged(low, np.maximum(high - low + 1, 0)))
-            runs = np.split(starts, np.flatnonzero(np.diff(starts) > length) + 1)
-            for run in runs:
-                for cut in range(0, len(run), _WINDOWS):
-                    part = run[cut : cut + _WINDOWS]
-                    windows, items = index.search(window_prints(values, part, length))
-                    for window, item in zip(windows.tolist(), items.tolist(), strict=True):
-                        start = int(part[window])
-                        value = similarity(values[start : start + length], group[item][1])
-                        if value >= SIMILARITY:
-                            one = (value, -start, min(size, length + width - 1))
-                            at = (size, item)
-                            best[at] = max(best.get(at, one), one)
+            whole = size - width + 1
+            length = min(whole, len(values))
+            # So many shared shingles make the similarity; fewer known ones cannot.
+            need = SIMILARITY * (length + whole) / (1 + SIMILARITY) - 1e-9
+            sums = np.concatenate(([0], np.cumsum(self._shared(values, known))))
+            starts = np.flatnonzero(sums[length:] - sums[: len(sums) - length] >= need)
+            for start in starts.tolist():
+                window = values[start : start + length]
+                for item in _sharing(*index, window, need):
+                    value = similarity(window, group[item][1])
+                    if value >= SIMILARITY:
+                        one = (value, -start, min(size, length + width - 1))
+                        at = (size, item)
+                        best[at] = max(best.get(at, one), one)
         return [
             (self.sizes[size][0][item][0], value, -start, count)
             for (size, item), (value, start, count) in sorted(best.items())
         ]
 
 
+def _sharing(keys: np.ndarray, items: np.ndarray, window: np.ndarray, need: float) -> list[int]:
+    """The items that have at least ``need`` of the window's shingles, repeats included."""
+    low = np.searchsorted(keys, window)
+    count = np.searchsorted(keys, window, "right") - low
+    found, times = np.unique(items[W.ragged(low, count)], return_counts=True)
+    return found[times >= need].tolist()
+
+
 def _short(hashed: np.ndarray, size: int) -> np.ndarray:
     """Shingles for items of fewer words than a shingle: all runs of that many words."""
     count = len(hashed) - size + 1

@@ -83,3 +83,16 @@ def test_the_index_finds_all_within_the_radius():
         for v in range(len(values))
         if int(queries[q] ^ values[v]).bit_count() <= D.RADIUS
     }
+
+
+def test_one_changed_word_in_the_middle_is_found(llm, docs):
+    items, rows = [], []
+    for k in range(400):
+        size = (49, 50, 52, 56)[k % 4]
+        parts = [f"i{k}w{j}" for j in range(size)]
+        items.append((k, " ".join(parts)))
+        parts[size // 2] = "other"
+        rows.append((k, " ".join(["before"] * 30 + parts + ["after"] * 30)))
+    found = {(r["id"], r["item"]) for r in run(llm, docs(rows), items).collect()}
+    # 49 words have 45 shingles, 40 of them shared: 40 of 50 is exactly 0.8.
+    assert found == {(k, k) for k in range(400)}
