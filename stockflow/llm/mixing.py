@@ -157,7 +157,7 @@ def _rounded(rows: DataFrame, count: int) -> DataFrame:
     )
     inside = (
         Window.partitionBy("source", "block")
-        .orderBy(F.desc("size"), "mark", "id")
+        .orderBy(F.desc("size"), "mark", "id", "row")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     rows = rows.withColumn("upto", F.sum("units").over(inside))
@@ -167,7 +167,7 @@ def _rounded(rows: DataFrame, count: int) -> DataFrame:
     upto = F.col("start") + F.col("upto") + F.lit(UNIT // 2)
     half = F.lit(UNIT).cast("bigint")
     copies = F.floor(upto / half) - F.floor((upto - F.col("units")) / half)
-    return rows.select("id", "mark", "source", "size", copies.cast("int").alias("copies"))
+    return rows.select("row", "id", "mark", "source", "size", copies.cast("int").alias("copies"))
 
 
 def _repaired(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -184,19 +184,14 @@ def _repaired(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         F.col("short") > 0, F.col("copies") < MAX_RATE
     ).otherwise(F.col("copies") > 0)
     gap = F.abs(F.abs("short") - F.col("size"))
+    # Rows alike but for their key differ in copies, which come first.
     pick = found.where(fits).groupBy("of").agg(
-        F.min(F.struct(gap.alias("gap"), "mark", "id", "size")).alias("pick")
+        F.min(F.struct(gap.alias("gap"), "mark", "id", "size", "copies", "row")).alias("pick")
     )
-    pick = pick.select(F.col("of").alias("source_"), F.col("pick.mark").alias("m"), F.col("pick.id").alias("i"))
-    out = found.join(
-        pick,
-        F.col("of").eqNullSafe(F.col("source_"))
-        & (F.col("mark") == F.col("m"))
-        & F.col("id").eqNullSafe(F.col("i")),
-        "left",
-    )
-    change = F.when(F.col("m").isNull(), 0).otherwise(F.signum("short")).cast("int")
-    return out.select("id", "mark", "source", "size", (F.col("copies") + change).alias("copies"))
+    pick = pick.select(F.col("pick.row").alias("r"))
+    out = found.join(pick, F.col("row") == F.col("r"), "left")
+    change = F.when(F.col("r").isNull(), 0).otherwise(F.signum("short")).cast("int")
+    return out.select("row", "id", "mark", "source", "size", (F.col("copies") + change).alias("copies"))
 
 
 def mix(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -205,11 +200,19 @@ def mix(documents: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 
     Rates come from entropy balancing, copies from rounding them; ``copies`` is at most
     ``MAX_RATE``. Null texts have size 0, null sources are one source, ranked last.
-    Repeated rows are documents of their own but may get equal repairs. The same rows
-    give the same copies in any order. Other columns are not read. An empty table gives
+    Repeated rows are documents of their own, told apart by a row key that is fixed by
+    being written. The same rows give the same copies in any order. Other columns are not read. An empty table gives
     no rows; without any words all targets are 0 and each document gets one copy.
     """
+    row = F.monotonically_increasing_id()
+    return _mix(documents, row, id_column, text_column, source_column, weights).drop("row")
+
+
+def _mix(documents: DataFrame, row: Column, id_column: str, text_column: str,
+         source_column: str, weights: tuple[int, ...]) -> DataFrame:
+    """What ``mix`` returns, and the key of each row."""
     rows = documents.select(
+        row.alias("row"),
         F.col(id_column).alias("id"),
         F.col(source_column).cast("string").alias("source"),
         words_in(F.col(text_column)).alias("size"),
@@ -227,7 +230,7 @@ def mix(documents: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     rated = rows.join(known, F.col("source").eqNullSafe(F.col("of")))
     at_edge = F.when(F.col("source_size") == 0, 1.0).when(F.col("target") > 0, float(MAX_RATE)).otherwise(0.0)
     wanted_rate = F.coalesce(rate(F.col("tilt"), F.col("size"), F.col("scale")), at_edge)
-    copies = _rounded(rated.select("id", "mark", "source", "size", wanted_rate.alias("rate")), count)
+    copies = _rounded(rated.select("row", "id", "mark", "source", "size", wanted_rate.alias("rate")), count)
     copies = stored(copies, "copies")
     for _ in range(REPAIRS):
         copies = stored(_repaired(copies, wanted), "copies")
@@ -238,13 +241,11 @@ def mix(documents: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 def mixed(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
           source_column: str = "source", weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The documents of the mix, each as often as it has copies, columns unchanged."""
-    copies = mix(documents, id_column, text_column, source_column, weights)
-    own, times, each = (fresh(documents, name) for name in ("own_mark", "times", "each"))
-    copies = copies.groupBy(F.col("mark").alias("of_mark")).agg(F.max("copies").alias(times))
-    copies = copies.where(F.col(times) > 0)
-    mark = F.xxhash64(F.col(id_column).cast("string"), F.col(text_column).cast("string"))
-    found = documents.withColumn(own, mark)
-    found = found.join(copies.withColumnRenamed("of_mark", own), own)
+    own, of, times, each = (fresh(documents, name) for name in ("own_row", "of_row", "times", "each"))
+    # Rows that repeat each other have copies of their own, so each keeps its key.
+    rows = stored(documents.withColumn(own, F.monotonically_increasing_id()), "documents")
+    copies = _mix(rows, F.col(own), id_column, text_column, source_column, weights)
+    copies = copies.where("copies > 0").select(F.col("row").alias(of), F.col("copies").alias(times))
+    found = rows.join(copies, F.col(own) == F.col(of))
     repeat = F.explode(F.array_repeat(F.lit(0), F.col(times)))
-    kept = [found[name] for name in documents.columns]
-    return found.select(*kept, repeat.alias(each)).drop(each)
+    return found.select(*[rows[name] for name in documents.columns], repeat.alias(each)).drop(each)

@@ -89,3 +89,23 @@ def test_documents_are_repeated_with_their_columns(docs):
     for row in mixed.collect():
         found[row["doc_id"]] += 1
     assert {k: v for k, v in copies.items() if v} == found
+
+
+def test_repeated_rows_meet_target_and_limit(docs):
+    rows = [(1, "w " * 20, "src0")] * 700 + [(None, "v " * 20, "src0")] * 300
+    rows += [(1, "w " * 20, "src1")] * 200 + [(k, "w " * (k % 30 + 1), "src1") for k in range(10, 300)]
+    rows += [(k, "w " * (k % 30 + 1), "src2") for k in range(300, 500)]
+    table = docs(rows)
+    sizes, taken, mixed = defaultdict(int), defaultdict(int), defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(brute.words(text))
+    found = M.mix(table).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        assert 0 <= row["copies"] <= 3
+        taken[row["source"]] += row["copies"] * row["size"]
+    for row in M.mixed(table).collect():
+        mixed[row["source"]] += len(brute.words(row["text"]))
+    assert mixed == taken
+    for source, target in targets(sizes).items():
+        assert abs(taken[source] - target) <= 20, source
