@@ -78,3 +78,38 @@ SELECT any_value(k.doc_id) AS doc_id,
        count(*) FILTER (WHERE c.key IS NOT NULL) AS n_dropped
 FROM k LEFT JOIN common c ON c.source IS NOT DISTINCT FROM k.source AND c.key = k.key
 GROUP BY r"""
+
+
+_WHOLE = """
+    SELECT row_number() OVER () AS r, vec_id, {label} AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)"""
+
+TOP_PRODUCTS = f"""
+WITH e AS ({_WHOLE.format(label="NULL")})
+SELECT q.vec_id AS query_id,
+       CAST(row_number() OVER (PARTITION BY q.r ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id)
+            AS INTEGER) AS rank,
+       c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.r <> q.r
+QUALIFY rank <= 5"""
+
+_LABEL = "CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END"
+
+HARD_NEGATIVES = f"""
+WITH e AS (SELECT * FROM ({_WHOLE.format(label=_LABEL)}) WHERE label IS NOT NULL),
+s AS (
+    SELECT a.r AS anchor, a.vec_id AS anchor_id, c.r, c.vec_id, a.label = c.label AS same,
+           CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+    FROM e a JOIN e c ON a.vec_id % 100 = 0 AND c.r <> a.r),
+p AS (
+    SELECT * FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id)
+            AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor = p.anchor AND NOT n.same
+     AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockflow.llm import (
     decontaminate,
+    hard_negatives,
     host_rules,
     lm,
     mixing,
@@ -18,13 +19,21 @@ from stockflow.llm import (
     secret_scan,
     simhash_dedup,
     site_lines,
+    top_products,
     warc,
+    word_runs,
 )
 from stockflow.llm.ship import ship
+from stockflow.llm.words import WORD
 from stockflow.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE = {"op3_host_rules": oracle.HOST_RULES, "op8_site_lines": oracle.SITE_LINES}
+ORACLE = {
+    "op3_host_rules": oracle.HOST_RULES,
+    "op8_site_lines": oracle.SITE_LINES,
+    "op11_threshold_top": oracle.TOP_PRODUCTS,
+    "op13_kronecker_negatives": oracle.HARD_NEGATIVES,
+}
 
 
 def query(function):
@@ -121,3 +130,66 @@ def op10_simhash_bk(spark, sf_dir):
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query
+def op11_threshold_top(spark, sf_dir):
+    found = top_products.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op12_word_runs(spark, sf_dir):
+    found = word_runs.find(planted(table(spark, sf_dir, "documents")))
+    longest = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"], r["period"]),
+        )
+    )
+    lines = F.transform(
+        "runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    )
+    length, start, period = longest["length"], longest["start"], longest["period"]
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"),
+        start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(F.lit(1000) * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the texts repeat a stretch of words up to their end.
+
+    With h the crc32 of the id, g = h / 10 and n words, texts whose h ends in 0 repeat the
+    1 + (n - a) / (3 + g % 8) words from a = g % n on.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, words = F.floor(h / 10), F.col("words")
+    n, a, p = F.size("words"), F.col("a"), F.col("p")
+    unit = F.slice(words, a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - a) / p).cast("int"))), 1, n - a)
+    return (
+        docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        .withColumn("words", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), 0)))
+        .withColumn("a", F.when(n > 0, F.pmod(g, n)).cast("int"))
+        .withColumn("p", (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int"))
+        .select(
+            "doc_id",
+            F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " "))
+            .otherwise(F.col("text"))
+            .alias("text"),
+        )
+    )
+
+
+@query
+def op13_kronecker_negatives(spark, sf_dir):
+    label = F.col("label").cast("bigint")
+    return hard_negatives.mine(
+        table(spark, sf_dir, "embeddings"),
+        F.col("vec_id") % 100 == 0,
+        F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
