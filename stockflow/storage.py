@@ -59,6 +59,13 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def discard(rows: DataFrame) -> None:
+    """Delete what ``stored`` wrote for these rows, which nothing may read again."""
+    files = rows.inputFiles()
+    if files:
+        drop(rows.sparkSession, files[0].rpartition("/")[0])
+
+
 def partition_dir(root: str, **values: object) -> str:
     """Path of one Hive partition below ``root``, named as Spark names it."""
 
