@@ -18,9 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import words as W
-from stockflow.llm.decontaminate import shingles
 from stockflow.llm.graph import components
-from stockflow.llm.rows import without
 from stockflow.storage import stored
 
 SEED = 42
@@ -29,12 +27,6 @@ SLICE = 8192
 # Searches of a tree that are followed at once, which bounds memory.
 FRONTIER = 1 << 20
 _CHUNK = 1 << 16
-# Documents that share this part of their five-word shingles are near-duplicates.
-SIMILARITY = 0.8
-# Frequent shingles that are told apart, and the rows of a batch that make one frequent.
-FREQUENT = 1 << 18
-FREQUENT_ROWS = 8
-_CELLS = 1 << 22
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -271,240 +263,15 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
         F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("wide").alias("wide")
     )
     vertices = stored(vertices, "vertices")
-    return _named(prints, vertices, components(links(vertices, radius, agree, wide_radius)))
+    return named(prints, vertices, components(links(vertices, radius, agree, wide_radius))).select(
+        "id", "fp", "component"
+    )
 
 
-def _named(prints: DataFrame, vertices: DataFrame, reached: DataFrame) -> DataFrame:
+def named(prints: DataFrame, vertices: DataFrame, reached: DataFrame) -> DataFrame:
+    """The rows of ``prints`` with the least id and the root of what their vertex reaches."""
     rooted = vertices.join(reached, "vertex", "left").select(
         "vertex", "least", F.coalesce("root", "vertex").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    names = rooted.join(names, "root").select("vertex", "component")
-    return prints.join(names, "vertex").select("id", "fp", "component")
-
-
-def shingle_set(text: bytes) -> np.ndarray:
-    """The distinct five-word shingles, as ascending hashes."""
-    data, _ = W.joined([text])
-    return np.unique(shingles(W.hashes(data, *W.spans(data))))
-
-
-def _vertex(values: np.ndarray) -> int:
-    """Texts of equal shingles are one vertex."""
-    return _signed(xxhash.xxh64_intdigest(values.tobytes(), SEED))
-
-
-def _texts(documents: DataFrame, text_column: str) -> DataFrame:
-    return documents.select(F.col(text_column).cast("string").alias("text"))
-
-
-def _profiles(documents: DataFrame, id_column: str, text_column: str,
-              shingle: int, more: int) -> DataFrame:
-    """(id, vertex, fp, wide) of every document."""
-    kind = documents.schema[id_column].dataType.simpleString()
-    rows = documents.select(
-        F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")
-    )
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            vertex, prints, wides = [], [], []
-            for text in W.texts(batch.column(1)):
-                values = shingle_set(text)
-                vertex.append(_vertex(values))
-                prints.append(_signed(majority(shingle_hashes(text, shingle))))
-                wides.append(
-                    [
-                        _signed(majority(W.mix(values + np.uint64(k << 60 | k))))
-                        for k in range(1, more + 1)
-                    ]
-                )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(vertex, pa.int64()), pa.array(prints, pa.int64()),
-                 pa.array(wides, pa.list_(pa.int64()))],
-                ["id", "vertex", "fp", "wide"],
-            )
-
-    return rows.mapInArrow(compute, f"id {kind}, vertex bigint, fp bigint, wide array<bigint>")
-
-
-def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that many documents have, ascending, and in about how many they are.
-
-    At most ``FREQUENT`` of them reach the driver. They only order shingles: any order
-    gives the same pairs, and one with frequent shingles last compares the fewest.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [shingle_set(text) for text in W.texts(batch.column(0))]
-            found, times = np.unique(np.concatenate([*values, np.zeros(0, np.uint64)]), return_counts=True)
-            many = times >= FREQUENT_ROWS
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found[many].view(np.int64)), pa.array(times[many])], ["s", "n"]
-            )
-
-    rows = texts.mapInArrow(count, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
-    rows = rows.orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()
-    keys, times = rows["s"].to_numpy().view(np.uint64), rows["n"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order], times[order]
-
-
-def _least_shared(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Shared shingles that two sizes need for the similarity."""
-    return SIMILARITY * (left + right) / (1 + SIMILARITY) - 1e-9
-
-
-def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(shingle, vertex, n, place, often): the shingles one of which similar texts share.
-
-    Of n shingles in a fixed order, the first n - ceil(0.8 n) + 1: two texts that share
-    none of these share less than 0.8 of the larger one.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
-
-    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (keys, times), seen = shared.value, set()
-        for batch in batches:
-            parts = []
-            for text in W.texts(batch.column(0)):
-                values = shingle_set(text)
-                vertex = _vertex(values)
-                if vertex in seen or not len(values):
-                    continue
-                seen.add(vertex)
-                often = np.zeros(len(values), np.int64)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
-                    often = np.where(keys[at] == values, times[at], 0)
-                size = len(values) - int(np.ceil(SIMILARITY * len(values) - 1e-9)) + 1
-                order = np.lexsort((values, often))[:size]
-                parts.append((values[order].view(np.int64), np.full(size, vertex), np.full(size, len(values)),
-                              np.arange(size), often[order] > 0))
-            if parts:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(column)) for column in zip(*parts, strict=True)],
-                    ["shingle", "vertex", "n", "place", "often"],
-                )
-
-    return texts.mapInArrow(
-        compute, "shingle bigint, vertex bigint, n bigint, place bigint, often boolean"
-    )
-
-
-def _sharing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of unlike groups that share a shingle early enough to be similar."""
-    parts = [batch for batch in batches if len(batch)]
-    if not parts:
-        return
-    table = pa.Table.from_batches(parts)
-    key, vertex, size, place, group = (
-        table[name].to_numpy() for name in ("shingle", "vertex", "n", "place", "group")
-    )
-    order = np.lexsort((vertex, size, key))
-    key, vertex, size, place, group = (x[order] for x in (key, vertex, size, place, group))
-    at, step, found = np.arange(len(key)), 1, [np.zeros((0, 2), np.int64)]
-    held = 0
-    while len(at):
-        at = at[at + step < len(key)]
-        other = at + step
-        # Sizes ascend, so a row with too large a partner has none further on.
-        alive = (key[at] == key[other]) & (size[at] >= SIMILARITY * size[other] - 1e-9)
-        at, other = at[alive], other[alive]
-        most = np.minimum(size[at] - place[at], size[other] - place[other])
-        fits = (most >= _least_shared(size[at], size[other])) & (group[at] != group[other])
-        a, b = vertex[at[fits]], vertex[other[fits]]
-        found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-        held += len(a)
-        if held > FRONTIER:
-            found = [np.unique(np.concatenate(found), axis=0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found[0][:, 0]), pa.array(found[0][:, 1])], ["a", "b"])
-            found, held = [np.zeros((0, 2), np.int64)], 0
-        step += 1
-    found = np.unique(np.concatenate(found), axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
-
-
-def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of vertices whose exact similarity is high enough."""
-    cell = lambda name: F.pmod(F.col(name), F.lit(_CELLS)).cast("int").alias("cell")
-    cells = pairs.select(cell("a")).union(pairs.select(cell("b"))).distinct().toArrow()
-    touched = np.zeros(_CELLS, bool)
-    touched[cells["cell"].to_numpy()] = True
-    # Only texts of a pair are shipped; the mask has a fixed size.
-    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(touched))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask, seen = np.unpackbits(shared.value), set()
-        for batch in batches:
-            kept = []
-            for text in W.texts(batch.column(0)):
-                values = shingle_set(text)
-                vertex = _vertex(values)
-                if mask[vertex % _CELLS] and vertex not in seen:
-                    seen.add(vertex)
-                    kept.append((vertex, values.tobytes()))
-            if kept:
-                vertex, values = zip(*kept, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(vertex, pa.int64()), pa.array(values, pa.binary())], ["vertex", "values"]
-                )
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(same >= _least_shared(len(x), len(y)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(k).filter(pa.array(good, pa.bool_())) for k in (0, 1)], ["a", "b"]
-            )
-
-    held = texts.mapInArrow(sets, "vertex bigint, values binary")
-    held = stored(held.groupBy("vertex").agg(F.first("values").alias("values")), "shingles")
-    both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
-
-
-def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                   shingle: int = 2, radius: int = 8, agree: int = 2,
-                   more: int = 3, wide_radius: int = 32) -> DataFrame:
-    """(id, fp, component) as ``near_duplicates``, linked by exact similarity.
-
-    Two documents link if and only if their sets of five-word shingles have a Jaccard
-    similarity of ``SIMILARITY`` or more. Fingerprints find close copies first, and what
-    is verified of those is a group; then all documents that share a shingle early
-    enough in a fixed order are compared across groups, which loses no pair. A large
-    group of close copies is thus compared with its hub and not pair by pair.
-    """
-    texts = _texts(documents, text_column)
-    prints = stored(_profiles(documents, id_column, text_column, shingle, more), "fingerprints")
-    vertices = prints.groupBy("vertex").agg(
-        F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("wide").alias("wide")
-    )
-    vertices = stored(vertices, "vertices")
-    close = stored(components(links(vertices, radius, agree, wide_radius)), "close")
-    close = stored(_verified(texts, close.toDF("a", "b")), "close")
-    entries = stored(_prefixes(texts, _frequent(texts)), "prefixes")
-    # Rare shingles make few pairs; only frequent ones need to know the groups.
-    grouped = entries.where("often").join(components(close).toDF("vertex", "group"), "vertex", "left")
-    columns = ["shingle", "vertex", "n", "place", F.coalesce("group", "vertex").alias("group")]
-    rare = entries.where("not often").select(*columns[:-1], F.col("vertex").alias("group"))
-    rows = grouped.select(*columns).union(rare).repartition("shingle")
-    pairs = stored(rows.mapInArrow(_sharing, "a bigint, b bigint").distinct(), "pairs")
-    return _named(prints, vertices, components(close.union(_verified(texts, pairs))))
-
-
-def keep_one(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-             shingle: int = 2, radius: int = 8, agree: int = 2,
-             more: int = 3, wide_radius: int = 32) -> DataFrame:
-    """The documents with one of each group left, columns unchanged.
-
-    The one with the smallest id stays. Groups are those of ``similar_groups``: what
-    links of five-word similarity 0.8 or more reach. Rows with a null id are kept, since
-    no smaller one names their group; rows that repeat the kept id are kept with it.
-    """
-    found = similar_groups(documents, id_column, text_column, shingle, radius, agree, more, wide_radius)
-    return without(documents, id_column, found.where("id <> component").select("id"))
+    return prints.join(rooted.join(names, "root").drop("least"), "vertex")

@@ -6,16 +6,17 @@ from collections import Counter
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
-from stockflow.llm import decontaminate, host_rules, mixing, simhash_dedup
+from stockflow.llm import decontaminate, host_rules, mixing
 from stockflow.llm.queries import ORACLE, QUERIES
 from tests.compare import difference
+from tests.llm import brute
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_the_registry_holds_every_operator_once():
     names = [name.split("_")[0] for name in QUERIES]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 14)]
     assert entry.queries()["pipeline"].__wrapped__ is pipeline.run
     assert set(ORACLE) <= set(QUERIES)
 
@@ -34,6 +35,9 @@ def test_queries_return_their_columns(llm):
         "op7_secret_owners": "doc_id n_assign n_access n_hex base_sha256 spans",
         "op9_page_text": "page_id url text n_chars",
         "op10_simhash_bk": "doc_id fingerprint component_id",
+        "op11_threshold_top": "query_id rank vec_id score",
+        "op12_word_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+        "op13_kronecker_negatives": "anchor_id positive_id rank negative_id positive_score negative_score",
     }
     for name, wanted in columns.items():
         found = QUERIES[name](llm, SF)
@@ -50,8 +54,15 @@ def test_stages_take_effect_one_after_the_other(llm):
     assert ids(good) == {r["id"] for r in host_rules.judged(docs).where("kept").collect()}
     good = llm.createDataFrame(good.collect(), docs.schema)
     single = stages["simhash_dedup"](llm, good, SF)
-    groups = simhash_dedup.near_duplicates(good, shingle=2, radius=8, agree=2, more=3, wide_radius=32).collect()
-    assert ids(single) == {r["component"] for r in groups}
+    rows = [(r["doc_id"], r["text"]) for r in good.orderBy("doc_id").collect()]
+    sets = [set(brute.shingles(text, 5)) for _, text in rows]
+    near = [
+        (i, j)
+        for i in range(len(rows))
+        for j in range(i)
+        if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])
+    ]
+    assert ids(single) == {rows[at][0] for at in brute.components(len(rows), near)}
     single = llm.createDataFrame(single.collect(), docs.schema)
     clean = stages["decontamination"](llm, single, SF)
     leaks = decontaminate.leaks(single, llm.read.parquet(f"{SF}/benchmark.parquet"))

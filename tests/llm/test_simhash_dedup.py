@@ -45,16 +45,6 @@ def test_documents_match_brute_force(llm):
 
 def test_an_empty_table_has_no_rows(docs):
     assert S.near_duplicates(docs([])).collect() == []
-    assert S.keep_one(docs([])).collect() == []
-
-
-def test_one_of_each_group_stays_with_its_columns(docs):
-    text = " ".join(f"w{k}" for k in range(200))
-    rows = [(3, text), (1, text), (2, text.replace("w100", "x")), (9, "other words stand here alone"), (None, text)]
-    table = docs(rows)
-    kept = S.keep_one(table)
-    assert kept.columns == table.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.collect()) == [(False, 1), (False, 9), (True, None)]
 
 
 @pytest.mark.parametrize("radius,agree", [(4, 1), (8, 2), (3, 2)])
@@ -103,51 +93,3 @@ def test_components_match_brute_force(llm):
     root = brute.components(301, pairs)
     want = {v: root[v] for pair in pairs for v in pair if root[v] != v}
     assert {r["vertex"]: r["root"] for r in components(frame).collect()} == want
-
-
-def test_near_copies_are_found_and_others_left(llm):
-    rng = np.random.default_rng(5)
-    rows, pairs = [], 0
-    for group in range(60):
-        parts = [f"w{int(k)}" for k in rng.integers(0, 5000, 300)]
-        rows.append((2 * group, " ".join(parts)))
-        for at in rng.choice(300, 3, replace=False):
-            parts[at] = "changed"
-        rows.append((2 * group + 1, " ".join(parts)))
-        pairs += 1
-    table = llm.createDataFrame(rows, "doc_id bigint, text string")
-    kept = {r["doc_id"] for r in S.keep_one(table).collect()}
-    assert {2 * g for g in range(60)} <= kept
-    assert len(kept) <= 60 + 6
-
-
-def test_groups_match_brute_force_around_the_threshold(llm, monkeypatch):
-    monkeypatch.setattr(S, "FREQUENT_ROWS", 2)
-    rng = np.random.default_rng(8)
-    texts = []
-    for k in range(150):
-        parts = [f"w{int(v)}" for v in rng.integers(0, 5000, int(rng.integers(40, 200)))]
-        texts.append(parts)
-        other = list(parts)
-        if k % 3 == 0:
-            for at in rng.choice(len(parts), max(1, len(parts) // 45 + k % 2), replace=False):
-                other[at] = f"x{k}"
-        elif k % 3 == 1:
-            other += [f"y{k}w{j}" for j in range(len(parts) // 4 + k % 5 - 2)]
-        else:
-            other = other[int(len(parts) * 0.2) + k % 5 - 2 :]
-        texts.append(other)
-    line = "one line that a great many of the pages have at their end".split()
-    texts += [[f"z{k}w{j}" for j in range(30)] + line for k in range(60)]
-    rows = [(k, " ".join(parts)) for k, parts in enumerate(texts)]
-    sets = [set(brute.shingles(text, 5)) for _, text in rows]
-    near = [
-        (i, j)
-        for i in range(len(rows))
-        for j in range(i)
-        if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])
-    ]
-    assert 40 < len(near) < 140
-    table = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    found = {r["id"]: r["component"] for r in S.similar_groups(table).collect()}
-    assert [found[k] for k in range(len(rows))] == brute.components(len(rows), near)
