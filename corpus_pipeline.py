@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import decontaminate, host_rules, mixing, packing, simhash_dedup
+from stockflow.llm import decontaminate, host_rules, mixing, packing, similar
 from stockflow.llm.ship import ship
 from stockflow.session import prepare
 from stockflow.storage import stored
@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     _ready(spark)
-    return simhash_dedup.keep_one(docs)
+    return similar.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
