@@ -36,8 +36,11 @@ FREQUENT = 1 << 18
 FREQUENT_ROWS = 8
 # Rows of one shingle that a task compares together; more are cut into slices.
 SLICE_ROWS = 4096
+# Links of one text that a task checks together.
+HUB_LINKS = 4096
 _CELLS = 1 << 22
 _FOUND = 1 << 20
+_CLASSES = 256
 
 
 def shingle_set(text: bytes) -> np.ndarray:
@@ -65,7 +68,11 @@ def content_key(text: Column) -> Column:
 
 
 def _profiles(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, key, vertex, fp): the vertex and the fingerprint of every document."""
+    """(id, key, vertex, fp, n, classes): what is known of every document.
+
+    ``classes`` counts the shingles by the first byte of their hash. Two texts share at
+    most the sum of the smaller counts, which rules most pairs out.
+    """
     kind = documents.schema[id_column].dataType.simpleString()
     text = F.col(text_column)
     rows = documents.select(
@@ -75,17 +82,23 @@ def _profiles(documents: DataFrame, id_column: str, text_column: str) -> DataFra
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vertex, prints = [], []
+            vertex, prints, sizes, classes = [], [], [], []
             for text in W.texts(batch.column(2)):
                 values = shingle_set(text)
                 vertex.append(_vertex(values))
                 prints.append(_signed(majority(values)))
+                sizes.append(len(values))
+                counts = np.bincount((values >> np.uint64(56)).astype(np.int64), minlength=_CLASSES)
+                classes.append(np.minimum(counts, 65535).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(vertex, pa.int64()), pa.array(prints, pa.int64())],
-                ["id", "key", "vertex", "fp"],
-            )
+                [*batch.columns[:2], pa.array(vertex, pa.int64()), pa.array(prints, pa.int64()),
+                 pa.array(sizes, pa.int32()), pa.array(classes, pa.binary())],
+                ["id", "key", "vertex", "fp", "n", "classes"],
+            )
 
-    return rows.mapInArrow(compute, f"id {kind}, key bigint, vertex bigint, fp bigint")
+    return rows.mapInArrow(
+        compute, f"id {kind}, key bigint, vertex bigint, fp bigint, n int, classes binary"
+    )
 
 
 def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -243,8 +256,34 @@ def _pairs(found: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
+def _possible(pairs: DataFrame, vertices: DataFrame) -> DataFrame:
+    """The pairs that may be similar by the counts of their shingles' classes."""
+    known = vertices.select("vertex", "n", "classes")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u2").reshape(-1, _CLASSES)
+                for k in (3, 5)
+            )
+            most = np.minimum(x, y).sum(1, dtype=np.int64)
+            need = _least_shared(batch.column(2).to_numpy(), batch.column(4).to_numpy())
+            # A count at its limit says nothing.
+            good = (most >= need) | (np.minimum(x, y) == 65535).any(1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k).filter(pa.array(good)) for k in (0, 1)], ["a", "b"]
+            )
+
+    both = pairs.join(known.toDF("a", "n_a", "x"), "a").join(known.toDF("b", "n_b", "y"), "b")
+    return both.select("a", "b", "n_a", "x", "n_b", "y").mapInArrow(check, "a bigint, b bigint")
+
+
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The stored pairs (a, b) of vertices whose exact similarity is high enough."""
+    """The stored pairs (a, b) of vertices whose exact similarity is high enough.
+
+    Each set of shingles is shipped to the first vertex of its pairs; the pairs of a vertex
+    with very many are checked in several places.
+    """
     cell = lambda name: F.pmod(F.col(name), F.lit(_CELLS)).cast("int").alias("cell")
     cells = pairs.select(cell("a")).union(pairs.select(cell("b"))).distinct().toArrow()
     touched = np.zeros(_CELLS, bool)
@@ -269,23 +308,32 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
                 )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, hub = None, None
         for batch in batches:
             good = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(same >= _least_shared(len(x), len(y)))
+            for a, cut, own, _, values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                values = np.frombuffer(values, np.uint64)
+                if own:
+                    place, hub = (a, cut), values
+                    good.append(False)
+                    continue
+                assert place == (a, cut)
+                same = len(np.intersect1d(hub, values, assume_unique=True))
+                good.append(same >= _least_shared(len(hub), len(values)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k).filter(pa.array(good, pa.bool_())) for k in (0, 1)], ["a", "b"]
+                [batch.column(k).filter(pa.array(good, pa.bool_())) for k in (0, 3)], ["a", "b"]
             )
 
+    cuts = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_LINKS).cast("int").alias("cuts"))
+    cut = F.pmod(F.xxhash64("b"), F.col("cuts")).cast("int").alias("cut")
+    cutting = pairs.join(cuts, "a").select("a", cut, F.lit(0).alias("own"), F.col("b").alias("vertex"))
+    hubs = cutting.select("a", "cut").distinct()
+    hubs = hubs.select("a", "cut", F.lit(1).alias("own"), F.col("a").alias("vertex"))
     held = texts.mapInArrow(sets, "vertex bigint, values binary")
-    held = stored(held.groupBy("vertex").agg(F.first("values").alias("values")), "shingles")
-    both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
-    good = both.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
-    good = stored(good, "links")
-    discard(held)
-    return good
+    held = held.groupBy("vertex").agg(F.first("values").alias("values"))
+    sent = cutting.union(hubs).join(held, "vertex").select("a", "cut", "own", "vertex", "values")
+    sent = sent.repartition("a", "cut").sortWithinPartitions("a", "cut", F.desc("own"))
+    return stored(sent.mapInArrow(check, "a bigint, b bigint"), "links")
 
 
 def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -300,20 +348,25 @@ def similar_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
     """
     texts = _texts(documents, text_column)
     prints = stored(_profiles(documents, id_column, text_column), "fingerprints")
-    vertices = prints.groupBy("vertex").agg(F.min("id").alias("least"), F.first("fp").alias("fp"))
+    vertices = prints.groupBy("vertex").agg(
+        F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("n").alias("n"),
+        F.first("classes").alias("classes"),
+    )
     vertices = stored(vertices.withColumn("wide", F.array().cast("array<bigint>")), "vertices")
-    near = stored(components(links(vertices, radius, agree)).toDF("a", "b"), "near")
+    near = components(links(vertices.select("vertex", "fp", "wide"), radius, agree)).toDF("a", "b")
+    near = stored(_possible(near, vertices), "pairs")
     close = [_verified(texts, near)]
     discard(near)
     prefixes = stored(_prefixes(texts, _frequent(texts)), "prefixes")
     for every in (False, True):
         rows = _buckets(prefixes, components(_all(close)), every)
         pairs = rows.mapInArrow(_sharing(every), "a bigint, b bigint").distinct()
-        pairs = stored(pairs, "pairs")
+        pairs = stored(_possible(pairs, vertices), "pairs")
         close.append(_verified(texts, pairs))
         discard(pairs)
     discard(prefixes)
-    return named(prints, vertices, components(_all(close))).select(
+    kept = vertices.select("vertex", "least")
+    return named(prints, kept, components(_all(close))).select(
         "id", "key", "fp", "component", "root"
     )
 
