@@ -72,6 +72,10 @@ class Lake:
     def accepted(self) -> str:
         return self._at("state", "processed_events")
 
+    @property
+    def consumed_ids(self) -> str:
+        return self._at("state", "consumed_ids")
+
     @property
     def alerts(self) -> str:
         return self._at("state", "alerts")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow import schemas
 from stockflow.functions import vocabulary as V
 
 
@@ -45,32 +44,9 @@ def delivery_key() -> Column:
 
 
 def first_deliveries(events: DataFrame) -> DataFrame:
-    """F5 for a batch: first delivery of every event, whether valid or not."""
+    """first delivery of every event of a batch, whether valid or not."""
     return (
         events.withColumn("_delivery", delivery_key())
         .transform(keep_first, ["_delivery"])
         .drop("_delivery")
     )
-
-
-def first_deliveries_stream(events: DataFrame) -> DataFrame:
-    """F5/T4 for a stream in update mode: the first arrival of every event.
-
-    The state keeps, per delivery key, the first row with the time of its micro-batch,
-    which Spark fixes for a batch and repeats when it is replayed. Of copies in one
-    batch the least arrival wins, as in the batch twin; they combine on the map side,
-    so a key with very many copies is no hot task. Copies in later batches only move
-    the time last seen, and their row is left out here. Ids are remembered for good.
-    """
-    columns = schemas.column_names(schemas.ACCEPTED)
-    columns.remove("processed_at")
-    rest = [name for name in columns if name not in V.ARRIVAL]
-    row = F.struct("_at", *V.ARRIVAL, F.struct(*rest).alias("_rest"))
-    return (
-        events.withColumns({"_delivery": delivery_key(), "_at": F.current_timestamp()})
-        .groupBy("_delivery")
-        .agg(F.min(row).alias("_first"), F.max("_at").alias("_last"))
-        .filter(F.col("_first._at") == F.col("_last"))
-        .select(*[f"_first.{name}" for name in V.ARRIVAL], "_first._rest.*")
-        .select(*columns)
-    )

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from stockflow import schemas
 from stockflow.lake import Lake
 from stockflow.operators.merge import require_unique
-from stockflow.sinks.partitions import merge_upsert, overwrite_partitions
+from stockflow.sinks.snapshots import SnapshotTable
 from stockflow.sources.tables import of_slice, read_gold
-from stockflow.storage import drop, partition_dir, read_table
 
 # Name of the load and longest error text in its log.
 LOAD_NAME = "redshift_gold_load"
@@ -67,6 +66,18 @@ RECONCILIATION = Dataset(
 DATASETS = (DAILY_SUMMARY, RECONCILIATION)
 
 
+def staging_table(spark: SparkSession, lake: Lake, dataset: Dataset) -> SnapshotTable:
+    """The staging table of a dataset."""
+    path = lake.staging(dataset.staging_table)
+    return SnapshotTable(spark, path, dataset.gold_schema, dataset.partitions)
+
+
+def fact_table(spark: SparkSession, lake: Lake, dataset: Dataset) -> SnapshotTable:
+    """The mart table of a dataset."""
+    path, order = lake.mart(dataset.fact_table), list(dataset.sort_columns)
+    return SnapshotTable(spark, path, dataset.fact_schema, dataset.partitions, order)
+
+
 def replace_staging(
     lake: Lake,
     dataset: Dataset,
@@ -77,36 +88,32 @@ def replace_staging(
     """K9: replace what the call covers by the source rows and return them.
 
     A day and campaign, all days of a campaign, all campaigns of a day, or everything:
-    slices that the source no longer has are emptied, which a dynamic overwrite alone
-    would leave as they were.
+    slices that the source no longer has are emptied. The new version holds it all, so no
+    reader sees an empty slice that is about to be filled.
     """
-    spark = source.sparkSession
-    path = lake.staging(dataset.staging_table)
-    if date is None and campaign_id is None:
-        drop(spark, path)
-    elif date is not None:
-        names = {dataset.date_column: date}
-        if campaign_id is not None:
-            names["campaign_id"] = campaign_id
-        drop(spark, partition_dir(path, **names))
-    else:
-        staged = read_table(spark, path, dataset.gold_schema)
-        days = of_slice(staged, dataset.date_column, None, campaign_id)
-        for row in days.select(dataset.date_column).distinct().toLocalIterator():
-            names = {dataset.date_column: row[0], "campaign_id": campaign_id}
-            drop(spark, partition_dir(path, **names))
-    overwrite_partitions(source, path, dataset.partitions)
-    staged = read_table(spark, path, dataset.gold_schema)
-    return of_slice(staged, dataset.date_column, date, campaign_id)
+    table = staging_table(source.sparkSession, lake, dataset)
+    covered = F.lit(True)
+    if date is not None:
+        covered &= F.col(dataset.date_column) == F.to_date(F.lit(date))
+    if campaign_id is not None:
+        covered &= F.col("campaign_id") == campaign_id
+    version = table.replace(source, covered)
+    table.vacuum()
+    return table.read(version, lambda listed: listed.filter(covered))
 
 
 def success_log(
-    lake: Lake, dataset: Dataset, staged: DataFrame, load_id: str, started_at: datetime
+    lake: Lake, dataset: Dataset, listed: DataFrame, load_id: str, started_at: datetime
 ) -> DataFrame:
-    """One log row per loaded day and campaign with its row count."""
-    counts = staged.groupBy(
-        F.col(dataset.date_column).alias("business_date"), "campaign_id"
-    ).agg(F.count("*").alias("rows_loaded"))
+    """One log row per loaded day and campaign with its row count.
+
+    The counts are those of the staged partitions, taken when they were written.
+    """
+    counts = listed.select(
+        F.col(dataset.date_column).alias("business_date"),
+        "campaign_id",
+        F.col("n_rows").alias("rows_loaded"),
+    )
     return _log_rows(
         lake, dataset, counts, load_id, started_at, "SUCCESS", F.lit(None)
     )
@@ -172,17 +179,15 @@ def load_dataset(
     staged = replace_staging(lake, dataset, source, date, campaign_id)
     label = f"{dataset.staging_table}, date={date}, campaign_id={campaign_id}"
     require_unique(staged, dataset.keys, label)
-    merge_upsert(
-        lake.mart(dataset.fact_table),
-        dataset.fact_schema,
-        staged.withColumn("loaded_at", F.current_timestamp()),
-        dataset.keys,
-        dataset.partitions,
-        list(dataset.sort_columns),
+    facts = fact_table(spark, lake, dataset)
+    facts.merge(staged.withColumn("loaded_at", F.current_timestamp()), dataset.keys)
+    facts.vacuum()
+    listed = of_slice(
+        staging_table(spark, lake, dataset).partitions(), dataset.date_column, date, campaign_id
+    )
+    success_log(lake, dataset, listed, load_id, started_at).write.mode("append").parquet(
+        lake.load_log
     )
-    success_log(lake, dataset, staged, load_id, started_at).write.mode(
-        "append"
-    ).parquet(lake.load_log)
 
 
 def load_mart(

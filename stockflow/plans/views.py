@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow import schemas
 from stockflow.functions import vocabulary as V
 from stockflow.lake import Lake
-from stockflow.plans.mart import DAILY_SUMMARY, RECONCILIATION
-from stockflow.storage import read_table
+from stockflow.plans.mart import DAILY_SUMMARY, RECONCILIATION, fact_table
 
 # Columns of the dashboard views, in order.
 INVENTORY_DASHBOARD = [
@@ -94,12 +92,8 @@ VIEWS = (
 
 def create_views(spark: SparkSession, lake: Lake) -> None:
     """Register the four views as temporary views over the mart tables."""
-    summary = read_table(
-        spark, lake.mart(DAILY_SUMMARY.fact_table), schemas.FACT_DAILY_SUMMARY
-    )
-    recon = read_table(
-        spark, lake.mart(RECONCILIATION.fact_table), schemas.FACT_RECONCILIATION
-    )
+    summary = fact_table(spark, lake, DAILY_SUMMARY).read()
+    recon = fact_table(spark, lake, RECONCILIATION).read()
     rows = (
         inventory_dashboard(summary),
         reconciliation_dashboard(recon),

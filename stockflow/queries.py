@@ -25,6 +25,7 @@ from stockflow.operators.movement import net_movement
 from stockflow.plans import gold, mart, seed, views
 from stockflow.session import prepare
 from stockflow.sinks import partitions, projections, records
+from stockflow.sinks.snapshots import SnapshotTable
 from stockflow.sources import driver_tables as D
 from stockflow.sources import messages as M
 from stockflow.sources import tables
@@ -437,16 +438,12 @@ def _merge_into_older(spark, dataset, rows, totals):
     )
     newer = rows.filter(F.col("sku_id") != "SKU_5")
     columns = schemas.column_names(dataset.fact_schema)
+    table = SnapshotTable(
+        spark, path, dataset.fact_schema, dataset.partitions, list(dataset.sort_columns)
+    )
     for load in (older, newer):
-        partitions.merge_upsert(
-            path,
-            dataset.fact_schema,
-            stored(_fact(load).select(*columns), "source"),
-            dataset.keys,
-            dataset.partitions,
-            list(dataset.sort_columns),
-        )
-    return _without_stamps(read_table(spark, path, dataset.fact_schema))
+        table.merge(stored(_fact(load).select(*columns), "source"), dataset.keys)
+    return _without_stamps(table.read())
 
 
 @query
@@ -519,8 +516,7 @@ def gold_job_slice(spark, sf_dir):
 
 
 def _mart(spark, lake) -> DataFrame:
-    path = lake.mart(mart.DAILY_SUMMARY.fact_table)
-    return _without_stamps(read_table(spark, path, schemas.FACT_DAILY_SUMMARY))
+    return _without_stamps(mart.fact_table(spark, lake, mart.DAILY_SUMMARY).read())
 
 
 @query
@@ -568,9 +564,7 @@ def mart_job_reload(spark, sf_dir):
         names = {dataset.date_column: SLICE["date"], "campaign_id": SLICE["campaign_id"]}
         drop(spark, partition_dir(dataset.gold_path(lake), **names))
     mart.load_mart(spark, lake)
-    staged = read_table(
-        spark, lake.staging(mart.DAILY_SUMMARY.staging_table), schemas.GOLD_DAILY_SUMMARY
-    )
+    staged = mart.staging_table(spark, lake, mart.DAILY_SUMMARY).read()
     logged = _log(spark, lake).filter("load_id LIKE '%daily_inventory_summary'")
 
     def counted(rows: DataFrame, date: str, what: str, n) -> DataFrame:
@@ -723,13 +717,13 @@ def _run_once(spark, sf_dir, starter) -> Lake:
     return lake
 
 
-def _run_state(spark, sf_dir) -> tuple[Lake, streams.StateSink]:
+def _run_state(spark, sf_dir, **options) -> tuple[Lake, streams.StateSink]:
     """The state stream over three deliveries, restarted between them.
 
     Every run resumes from the checkpoint and finds one more folder of messages.
     """
     lake = Lake(work_path(spark, "stream"))
-    sink = streams.StateSink(spark, lake, batches_per_base=2)
+    sink = streams.StateSink(spark, lake, fanout=2, buckets=STATE_PARTITIONS, **options)
     sink.seed(_inventory(spark, sf_dir), _promotions(spark, sf_dir))
     inbox = f"{lake.root}/inbox"
     for number, folder in enumerate(_topic(spark, sf_dir)):
@@ -747,7 +741,7 @@ def _run_state(spark, sf_dir) -> tuple[Lake, streams.StateSink]:
 def _run_state_at_once(spark, sf_dir) -> Lake:
     """The state stream over all deliveries in one micro-batch of several files."""
     lake = Lake(work_path(spark, "stream"))
-    sink = streams.StateSink(spark, lake)
+    sink = streams.StateSink(spark, lake, buckets=STATE_PARTITIONS)
     sink.seed(_inventory(spark, sf_dir), _promotions(spark, sf_dir))
     root = _topic(spark, sf_dir)[0].rsplit("/", 1)[0]
     events = E.events_from_messages(M.read_message_files(spark, f"{root}/*"))

@@ -94,7 +94,7 @@ ACCEPTED = (
     "sku_id STRING, warehouse_id STRING, quantity INT, promotion_id STRING, "
     "promotion_applied BOOLEAN, movement_qty INT, is_valid_event BOOLEAN, "
     "invalid_reason STRING, kafka_topic STRING, kafka_partition INT, "
-    "kafka_offset BIGINT, processed_at TIMESTAMP"
+    "kafka_offset BIGINT, kafka_timestamp TIMESTAMP, processed_at TIMESTAMP"
 )
 
 # Keyed state tables.

@@ -5,22 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockflow.storage import drop, exists
-
-BATCHES_PER_BASE = 50
+from stockflow.sinks.leveled import BUCKETS, FANOUT, LeveledRuns
+from stockflow.storage import exists
 
 
 class KeyedLog:
-    """Seeded rows, changed rows per batch, and now and then all rows as a base.
+    """Seeded rows and the rows each batch changed, in buckets by key.
 
-    A batch writes only the keys it changed, into a folder named after the batch,
-    so a replayed batch replaces its own output and never reads it. A new base is
-    written every ``batches_per_base`` batches. Batch numbers alone say which
-    folders to read; nothing is listed.
+    A batch writes only the keys it changed and reads only the buckets of the keys it
+    meets, so its cost follows the batch and not the table. A replayed batch replaces
+    its own output and never reads it.
 
-    Rows carry a version: odd for the changes of a batch, even for rows seeded
-    between two batches. The highest version of a key counts, and of equal ones the
-    last updated.
+    Rows carry a version: odd for the changes of a batch, even for rows seeded between
+    two batches. The highest version of a key counts, and of equal ones the last updated.
     """
 
     def __init__(
@@ -29,84 +26,73 @@ class KeyedLog:
         root: str,
         schema: str,
         keys: list[str],
-        batches_per_base: int = BATCHES_PER_BASE,
+        fanout: int = FANOUT,
+        buckets: int = BUCKETS,
     ):
         self.spark = spark
-        self.root = root
-        self.schema = schema
         self.keys = keys
-        self.batches_per_base = batches_per_base
-
-    def _base(self, number: int) -> str:
-        return f"{self.root}/base={number}"
-
-    def _changes(self, batch_id: int) -> str:
-        return f"{self.root}/changes={batch_id}"
-
-    @property
-    def _seeds(self) -> str:
-        return f"{self.root}/seeds"
-
-    def _write(self, rows: DataFrame, version: int, path: str, mode: str) -> None:
-        versioned = rows.withColumn("_version", F.lit(version).cast("bigint"))
-        versioned.write.mode(mode).parquet(path)
-
-    def _read(self, *paths: str) -> DataFrame:
-        schema = f"{self.schema}, _version BIGINT"
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        self.versions = f"{schema}, _version BIGINT"
+        self.runs = LeveledRuns(
+            spark, f"{root}/runs", self.versions, keys, self._newest, fanout, buckets
+        )
+        self.seeds = f"{root}/seeds"
 
     def seed(self, rows: DataFrame, before_batch: int = 0) -> None:
         """Insert or replace rows by key, in effect from a batch that is to come."""
-        self._write(rows, 2 * before_batch, self._seeds, "append")
+        versioned = _versioned(rows, 2 * before_batch)
+        (
+            versioned.withColumn("bucket", self.runs.bucket())
+            .hint("rebalance", F.col("bucket"))
+            .sortWithinPartitions("bucket", *self.keys)
+            .write.mode("append")
+            .partitionBy("bucket")
+            .parquet(self.seeds)
+        )
 
     def write(self, changes: DataFrame, batch_id: int) -> None:
         """Store the rows a batch changed. Every batch calls this, also for none."""
-        self._write(changes, 2 * batch_id + 1, self._changes(batch_id), "overwrite")
-
-    def _rows(self, base: int, end: int, only: DataFrame | None) -> DataFrame:
-        """Rows of a base overlaid with what came before batch ``end``."""
-        start = base * self.batches_per_base
-        paths = [self._base(base)] if base else []
-        versions = self._read(*paths, *map(self._changes, range(start, end)))
-        if exists(self.spark, self._seeds):
-            seeds = self._read(self._seeds)
-            versions = versions.unionByName(
-                seeds.filter(F.col("_version").between(2 * start, 2 * end))
-            )
-        if only is not None:
-            versions = versions.join(only, self.keys, "left_semi")
+        self.runs.write(_versioned(changes, 2 * batch_id + 1), batch_id)
+
+    def finish(self, batch_id: int) -> None:
+        """Merge the runs that a batch completes."""
+        self.runs.finish(batch_id)
+
+    def forget(self, batch_id: int) -> None:
+        """Drop runs that no reader of the batch or the one before it needs."""
+        self.runs.forget(batch_id)
+
+    def _newest(self, versions: DataFrame) -> DataFrame:
         newest = Window.partitionBy(*self.keys).orderBy(
             F.desc("_version"), F.desc("updated_at")
         )
-        return (
-            versions.withColumn("_rank", F.row_number().over(newest))
-            .filter(F.col("_rank") == 1)
-            .drop("_rank", "_version")
-        )
-
-    def _forget(self, base: int) -> None:
-        """Drop a base and its changes; two newer bases cover any replay."""
-        if base < 0:
-            return
-        start = base * self.batches_per_base
-        for number in range(start, start + self.batches_per_base):
-            drop(self.spark, self._changes(number))
-        drop(self.spark, self._base(base))
+        ranked = versions.withColumn("_rank", F.row_number().over(newest))
+        return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+    def _rows(self, end: int, only: DataFrame | None) -> DataFrame:
+        """Rows as they stand before batch ``end``."""
+        buckets = None if only is None else self.runs.touched(only)
+        versions = self.runs.read(end, buckets)
+        if exists(self.spark, self.seeds):
+            seeds = self.spark.read.schema(f"{self.versions}, bucket INT").parquet(self.seeds)
+            seeds = seeds.filter(F.col("_version") <= 2 * end)
+            if buckets is not None:
+                seeds = seeds.filter(F.col("bucket").isin(buckets))
+            versions = versions.unionByName(seeds.drop("bucket"))
+        if only is not None:
+            versions = versions.join(only, self.keys, "left_semi")
+        return self._newest(versions).drop("_version")
 
     def before(self, batch_id: int, only: DataFrame | None = None) -> DataFrame:
-        """Rows as they stand when the batch begins, writing a base when due.
+        """Rows as they stand when the batch begins.
 
         ``only`` restricts them to the keys it holds, before versions are compared.
         """
-        base, since_base = divmod(batch_id, self.batches_per_base)
-        if base and not since_base:
-            everything = self._rows(base - 1, batch_id, None)
-            self._write(everything, 2 * batch_id - 1, self._base(base), "overwrite")
-            self._forget(base - 2)
-        return self._rows(base, batch_id, only)
+        return self._rows(batch_id, only)
 
     def after(self, batch_id: int) -> DataFrame:
         """Rows as they stand when the batch has been applied."""
-        return self._rows(batch_id // self.batches_per_base, batch_id + 1, None)
+        return self._rows(batch_id + 1, None)
+
+
+def _versioned(rows: DataFrame, version: int) -> DataFrame:
+    return rows.withColumn("_version", F.lit(version).cast("bigint"))

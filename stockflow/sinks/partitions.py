@@ -1,13 +1,10 @@
-"""Partitioned table writers: K8, K9, K10, K13."""
+"""Partitioned writes in place: K7, K8, K13."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.operators.merge import merged
-from stockflow.storage import drop, exists, read_table
-
 
 def overwrite_partitions(
     rows: DataFrame,
@@ -29,80 +26,3 @@ def overwrite_partitions(
         .partitionBy(*partition_cols)
         .parquet(path)
     )
-
-
-def _in_partitions(rows: DataFrame, touched: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows of the partitions that occur in ``touched``, NULL values included.
-
-    One way for every size: the least and greatest value of each column (one row)
-    bound the scan, and a plain equality join prunes it further while it runs. Rows
-    with a NULL among the columns, which equality would lose, are a branch of their own.
-    """
-    bounds = touched.agg(
-        *[F.min(name).alias(f"min_{name}") for name in cols],
-        *[F.max(name).alias(f"max_{name}") for name in cols],
-        F.count_if(_any_null(cols)).alias("nulls"),
-    ).first()
-    partitions = touched.select(*cols).distinct().toDF(*[f"_{name}" for name in cols])
-    known = rows
-    for name in cols:
-        low, high = bounds[f"min_{name}"], bounds[f"max_{name}"]
-        known = known.filter(F.col(name).between(F.lit(low), F.lit(high)))
-    equal = [F.col(name) == F.col(f"_{name}") for name in cols]
-    found = known.join(partitions, equal, "left_semi")
-    if not bounds["nulls"]:
-        return found
-    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in cols]
-    return found.union(rows.filter(_any_null(cols)).join(partitions, same, "left_semi"))
-
-
-def _any_null(cols: list[str]) -> Column:
-    return F.greatest(*[F.col(name).isNull().cast("int") for name in cols], F.lit(0)) == 1
-
-
-def _pending(path: str) -> str:
-    return f"{path.rstrip('/')}.pending"
-
-
-def recover(
-    spark: SparkSession,
-    path: str,
-    schema: str,
-    partition_cols: list[str],
-    sort_cols: list[str] | None = None,
-) -> None:
-    """Finish or forget a merge that ended in between.
-
-    Complete pending rows replace their partitions once more, whatever state those are
-    in; incomplete ones never touched the table.
-    """
-    pending = _pending(path)
-    if exists(spark, f"{pending}/_SUCCESS"):
-        rows = spark.read.schema(schema).parquet(pending)
-        overwrite_partitions(rows, path, partition_cols, sort_cols)
-    drop(spark, pending)
-
-
-def merge_upsert(
-    path: str,
-    schema: str,
-    source: DataFrame,
-    keys: list[str],
-    partition_cols: list[str],
-    sort_cols: list[str] | None = None,
-) -> None:
-    """Insert source rows, or replace the target rows of the same key.
-
-    ``keys`` include the partition columns. Only the target's partitions that the
-    source touches are read and rewritten, whole, with the merged rows. The merged rows
-    are stored beside the table first and published from there, so no table is
-    overwritten while it is read, and a merge that dies at any point is finished by the
-    next one.
-    """
-    spark = source.sparkSession
-    recover(spark, path, schema, partition_cols, sort_cols)
-    target = read_table(spark, path, schema)
-    current = _in_partitions(target, source, partition_cols)
-    rows = merged(current, source.select(*target.columns), keys)
-    rows.write.mode("overwrite").parquet(_pending(path))
-    recover(spark, path, schema, partition_cols, sort_cols)

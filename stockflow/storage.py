@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Characters Spark escapes in partition folder names.
@@ -95,6 +96,34 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return bool(system.globStatus(location))
 
 
+def children(spark: SparkSession, pattern: str) -> list[str]:
+    """The names of the paths that match a pattern with wildcards, ascending."""
+    system, location = _file_system(spark, pattern)
+    return sorted(found.getPath().getName() for found in system.globStatus(location) or [])
+
+
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """The bytes of all files below a path; 0 for none."""
+    system, location = _file_system(spark, path)
+    return system.getContentSummary(location).getLength() if system.exists(location) else 0
+
+
+def rename_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a path in one step, unless the target exists; says whether it did."""
+    system, location = _file_system(spark, target)
+    system.mkdirs(location.getParent())
+    fs = spark._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    context = fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(_file_system(spark, source)[1], location, options)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a path recursively, if it exists."""
     system, location = _file_system(spark, path)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,11 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 from stockflow import schemas
 from stockflow.functions import vocabulary as V
 from stockflow.lake import Lake
-from stockflow.operators.dedupe import first_deliveries_stream
+from stockflow.operators.dedupe import first_deliveries
 from stockflow.operators.running import BLOCK_OFFSETS
 from stockflow.operators.state import accepted_columns, apply_events
 from stockflow.operators.velocity import sales_velocity, velocity_scope_rows
-from stockflow.sinks.keyed_log import BATCHES_PER_BASE, KeyedLog
+from stockflow.sinks.id_ledger import IdLedger
+from stockflow.sinks.keyed_log import KeyedLog
+from stockflow.sinks.leveled import BUCKETS, FANOUT
 from stockflow.sinks.partitions import overwrite_partitions
 from stockflow.sinks.projections import (
     bronze_rows,
@@ -155,39 +157,40 @@ def start_velocity_upsert(
 
 
 class StateSink:
-    """K5/K7: apply a micro-batch of first deliveries to stock and promotions.
+    """K5/K7: apply the first deliveries of a micro-batch to stock and promotions.
 
-    The batch is stored before anything is derived from it, and a replay of a
-    batch takes up the stored rows. All outputs are folders named after the batch,
-    and a batch reads only the state of earlier batches. So a replay after a
+    The batch's first deliveries are stored before anything is derived from them, and a
+    replay of a batch takes up the stored rows. All outputs are folders named after the
+    batch, and a batch reads only the state of earlier batches. So a replay after a
     failure at any point repeats the same rows in the same places.
+
+    ``dedupe_horizon`` bounds how long consumed ids are remembered (``IdLedger``).
     """
 
     def __init__(
         self,
         spark: SparkSession,
         lake: Lake,
-        batches_per_base: int = BATCHES_PER_BASE,
+        fanout: int = FANOUT,
+        buckets: int = BUCKETS,
         block_offsets: int = BLOCK_OFFSETS,
+        dedupe_horizon: timedelta | None = None,
     ):
         self.spark = spark
         self.lake = lake
         self.block_offsets = block_offsets
+        self.consumed = IdLedger(spark, lake.consumed_ids, dedupe_horizon, fanout, buckets)
         self.inventory = KeyedLog(
-            spark,
-            lake.inventory,
-            schemas.CURRENT_INVENTORY,
-            V.STOCK_KEY,
-            batches_per_base,
+            spark, lake.inventory, schemas.CURRENT_INVENTORY, V.STOCK_KEY, fanout, buckets
         )
         self.promotions = KeyedLog(
-            spark,
-            lake.promotions,
-            schemas.PROMOTION_METRICS,
-            V.PROMOTION_KEY,
-            batches_per_base,
+            spark, lake.promotions, schemas.PROMOTION_METRICS, V.PROMOTION_KEY, fanout, buckets
         )
 
+    @property
+    def _logs(self) -> list[IdLedger | KeyedLog]:
+        return [self.consumed, self.inventory, self.promotions]
+
     def seed(self, inventory: DataFrame, promotions: DataFrame) -> None:
         """B1/B2: insert or replace rows, in effect from the next batch.
 
@@ -200,16 +203,27 @@ class StateSink:
         self.promotions.seed(promotions, upcoming)
 
     def _accept(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Store the batch's first deliveries and remember them.
+
+        Of copies in one batch the least arrival wins, as in the batch twin. The batch is
+        parsed once; its keys then say which buckets of the ledger to open.
+        """
         path = f"{self.lake.accepted}/batch_id={batch_id}"
-        if exists(self.spark, f"{path}/_SUCCESS"):
-            # A replay: run the batch only to advance its de-duplication state.
-            batch.write.format("noop").mode("overwrite").save()
-        else:
+        if not exists(self.spark, f"{path}/_SUCCESS"):
             now = F.lit(datetime.now(timezone.utc))
-            accepted_columns(batch, now).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(schemas.ACCEPTED).parquet(path)
+            arrivals = accepted_columns(first_deliveries(batch), now).persist()
+            try:
+                accepted = self.consumed.unseen(arrivals, batch_id)
+                accepted.select(*arrivals.columns).write.mode("overwrite").parquet(path)
+            finally:
+                arrivals.unpersist()
+        accepted = self.spark.read.schema(schemas.ACCEPTED).parquet(path)
+        self.consumed.write(accepted, batch_id)
+        return accepted
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        for log in self._logs:
+            log.forget(batch_id)
         accepted = self._accept(batch, batch_id)
         # Both are read several times; the logs are scanned once.
         inventory = self.inventory.before(
@@ -271,7 +285,9 @@ class StateSink:
         )
 
     def _finish(self, batch_id: int) -> None:
-        """Mark the batch, so that readers take up complete batches only."""
+        """Merge what the batch completes, then mark it for readers."""
+        for log in self._logs:
+            log.finish(batch_id)
         marks = self.lake.finished_batches
         self.spark.range(batch_id, batch_id + 1).write.mode("overwrite").parquet(
             f"{marks}/batch_id={batch_id}"
@@ -301,11 +317,11 @@ def start_state(
     sink: StateSink,
     trigger: Trigger = KEYED_TRIGGER,
 ):
-    """K5: first deliveries, applied batch by batch."""
+    """K5: events, applied batch by batch; the sink keeps all state."""
     return _start(
-        first_deliveries_stream(events),
+        events,
         sink.lake.checkpoint("current_state"),
-        "update",
+        "append",
         trigger,
         lambda writer: writer.foreachBatch(sink).start(),
     )

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from stockflow import schemas
 from stockflow.operators.merge import DuplicateKeys
 from stockflow.plans import gold, mart, seed, views
-from stockflow.sinks import partitions
-from stockflow.sinks.partitions import merge_upsert, overwrite_partitions
+from stockflow.sinks.partitions import overwrite_partitions
 from stockflow.sources import driver_tables as D
 from stockflow.sources.config import (
     read_initial_inventory,
@@ -219,11 +218,7 @@ def write_gold_tables(spark, lake, summary, recon):
 
 
 def facts(spark, lake):
-    return read_table(
-        spark,
-        lake.mart("fact_daily_inventory_summary"),
-        schemas.FACT_DAILY_SUMMARY,
-    )
+    return mart.fact_table(spark, lake, mart.DAILY_SUMMARY).read()
 
 
 def load_log(spark, lake):
@@ -293,80 +288,6 @@ def test_a_long_error_is_cut(spark, lake):
     assert row.business_date == DAY
 
 
-def test_merge_rewrites_only_touched_partitions(spark, lake):
-    path = lake.mart("t")
-    schema = "k STRING, v INT, p STRING"
-
-    def rows(*data):
-        return spark.createDataFrame(list(data), schema)
-
-    merge_upsert(path, schema, rows(("a", 1, "x"), ("b", 2, "y")), ["k", "p"], ["p"])
-    untouched = partition_dir(path, p="y")
-    before = sorted(os.listdir(untouched))
-    merge_upsert(path, schema, rows(("a", 9, "x"), ("c", 3, "z")), ["k", "p"], ["p"])
-    assert sorted(os.listdir(untouched)) == before
-    assert values(read_table(spark, path, schema), "k", "v", "p") == [
-        ("a", 9, "x"), ("b", 2, "y"), ("c", 3, "z")
-    ]
-
-
-def test_a_merge_that_dies_is_finished_by_the_next(spark, lake, monkeypatch):
-    path, schema = lake.mart("t"), "k STRING, v INT, p STRING"
-
-    def merge(*data):
-        rows = spark.createDataFrame(list(data), schema)
-        merge_upsert(path, schema, rows, ["k", "p"], ["p"])
-
-    merge(("a", 1, "x"), ("b", 2, "x"), ("c", 3, "y"))
-
-    def die(*_):
-        # A partition is gone and not yet replaced.
-        drop(spark, partition_dir(path, p="x"))
-        raise RuntimeError("lost")
-
-    with monkeypatch.context() as patched:
-        patched.setattr(partitions, "overwrite_partitions", die)
-        with pytest.raises(RuntimeError):
-            merge(("a", 9, "x"))
-    merge(("d", 4, "y"))
-    assert values(read_table(spark, path, schema), "k", "v", "p") == [
-        ("a", 9, "x"), ("b", 2, "x"), ("c", 3, "y"), ("d", 4, "y"),
-    ]
-    with monkeypatch.context() as patched:
-        patched.setattr(partitions, "merged", die)
-        with pytest.raises(RuntimeError):
-            merge(("a", 0, "y"))
-
-
-@pytest.mark.parametrize("touched", [3, 3000])
-def test_any_number_of_partitions_prunes_the_scan(spark, lake, touched):
-    path = lake.mart("t")
-    rows = spark.range(20).select(
-        F.col("id").alias("k"), (F.col("id") % 10).cast("int").alias("p")
-    )
-    rows.write.partitionBy("p").parquet(path)
-    source = stored(spark.range(touched).select((F.col("id") + 2).cast("int").alias("p")), "touched")
-    target = spark.read.schema("k BIGINT, p INT").parquet(path)
-    plan = plan_of(partitions._in_partitions(target, source, ["p"]))
-    assert "p#" in plan and ">= 2" in plan.split("PartitionFilters")[1]
-    assert "dynamicpruning" in plan
-
-
-def test_merge_keeps_null_partitions_and_other_combinations(spark, lake):
-    path, schema = lake.mart("t"), "k STRING, v INT, p STRING, q INT"
-
-    def merge(*data):
-        rows = spark.createDataFrame(list(data), schema)
-        merge_upsert(path, schema, rows, ["k", "p", "q"], ["p", "q"])
-
-    merge(("a", 1, None, 1), ("b", 2, "x", 1), ("c", 3, "x", 2), ("d", 4, "y", 1))
-    merge(("e", 5, None, 1), ("b", 9, "x", 1), ("f", 6, "y", 2))
-    assert values(read_table(spark, path, schema), "k", "v", "p", "q") == [
-        ("a", 1, None, 1), ("b", 9, "x", 1), ("c", 3, "x", 2), ("d", 4, "y", 1),
-        ("e", 5, None, 1), ("f", 6, "y", 2),
-    ]
-
-
 def test_views_pick_first_and_last_day_of_the_month(spark, lake):
     first, last, next_month = date(2024, 1, 1), date(2024, 1, 31), date(2024, 2, 1)
     write_gold_tables(

@@ -42,7 +42,7 @@ def promotions(spark, *rows):
 
 
 def state_sink(spark, lake, **options):
-    sink = streams.StateSink(spark, lake, **options)
+    sink = streams.StateSink(spark, lake, **{"buckets": 4, **options})
     sink.seed(inventory(spark, ("C", "S", 10, 3)), promotions(spark, ("C", "P", "S")))
     return sink
 
@@ -77,7 +77,7 @@ def sale(event_id, quantity=1, **changes):
 
 def test_effects_over_several_batches(spark, lake, topic):
     """T3-T7 with restarts, replayed copies, and a base every second batch."""
-    sink = state_sink(spark, lake, batches_per_base=2, block_offsets=2)
+    sink = state_sink(spark, lake, fanout=2, block_offsets=2)
     topic.send(sale("a", 4), "junk", sale("bad", 0), sale("b", 2))
     run_state(spark, topic, sink)
     topic.send(sale("a", 4), sale("bad", 3), "junk")
@@ -174,7 +174,7 @@ def test_chunking_does_not_change_the_result(spark, tmp_path, topic):
     found = []
     for files in (1, 100):
         lake = Lake(str(tmp_path / f"lake-{files}"))
-        sink = state_sink(spark, lake, batches_per_base=1, block_offsets=5)
+        sink = state_sink(spark, lake, fanout=2, block_offsets=5)
         run_state(spark, topic, sink, files)
         found.append((stock(sink), alerts(spark, lake)))
     assert found[0] == found[1]
@@ -206,7 +206,7 @@ def test_the_stream_equals_its_batch_twin(spark, lake, topic):
 
 
 def test_seeding_a_campaign_while_the_stream_goes_on(spark, lake, topic):
-    sink = state_sink(spark, lake, batches_per_base=2)
+    sink = state_sink(spark, lake, fanout=2)
     topic.send(sale("a"), sale("n1", campaign_id="N"))
     run_state(spark, topic, sink)
     sink.seed(inventory(spark, ("N", "S", 7, 0)), promotions(spark, ("N", "P", "S")))
