@@ -7,6 +7,7 @@ import argparse
 from stockflow.jobs.arguments import business_day, campaign
 from stockflow.lake import Lake
 from stockflow.plans.mart import load_mart
+from stockflow.plans.views import refresh_views
 from stockflow.session import build_session
 
 
@@ -23,14 +24,17 @@ def main(argv: list[str] | None = None) -> str:
     lake = Lake.from_environment(args.lake_root)
     spark = build_session("inventory-mart-load")
     if args.all:
-        return load_mart(spark, lake)
-    return load_mart(
-        spark,
-        lake,
-        business_day(args.summary_date),
-        campaign(args.campaign_id),
-        business_day(args.recon_date or args.summary_date),
-    )
+        load_id = load_mart(spark, lake)
+    else:
+        load_id = load_mart(
+            spark,
+            lake,
+            business_day(args.summary_date),
+            campaign(args.campaign_id),
+            business_day(args.recon_date or args.summary_date),
+        )
+    refresh_views(spark, lake)
+    return load_id
 
 
 if __name__ == "__main__":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import os
+from datetime import timedelta
 
 from stockflow.lake import Lake
 from stockflow.session import build_session
@@ -45,6 +46,11 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
         type=int,
         help="partitions of the streams' state, kept for the life of a checkpoint",
     )
+    parser.add_argument(
+        "--dedupe-horizon-hours",
+        type=float,
+        help="how long consumed event ids are remembered, in message time; else for good",
+    )
     parser.add_argument("--lake-root")
     parser.add_argument("--checkpoint-root")
     parser.add_argument(
@@ -73,9 +79,10 @@ def main(argv: list[str] | None = None) -> None:
             auth_mode=args.auth_mode,
             max_offsets_per_trigger=args.max_offsets_per_trigger,
         )
-    queries = start_all(
-        messages, StateSink(spark, lake), partitions=args.state_partitions
-    )
+    hours = args.dedupe_horizon_hours
+    horizon = None if hours is None else timedelta(hours=hours)
+    sink = StateSink(spark, lake, dedupe_horizon=horizon)
+    queries = start_all(messages, sink, partitions=args.state_partitions)
     await_any(spark, queries)
 
 

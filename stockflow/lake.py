@@ -56,6 +56,14 @@ class Lake:
     def state_history(self) -> str:
         return self._at("silver", "current_inventory_state_history")
 
+    @property
+    def packed_history(self) -> str:
+        return self._at("silver", "packed_inventory_state_history")
+
+    @property
+    def late_sales(self) -> str:
+        return self._at("silver", "late_sales")
+
     @property
     def snapshots(self) -> str:
         return self._at("snapshots", "inventory_snapshot")

@@ -408,6 +408,52 @@ _SUMMARY = """
 
 _SLICE = " WHERE summary_date = DATE '2024-01-15' AND campaign_id = 'CAMP_1'"
 
+_MONTHLY = """
+        , ranked AS (
+            SELECT *, CAST(date_trunc('month', summary_date) AS DATE) AS month_date,
+                   row_number() OVER (
+                       PARTITION BY date_trunc('month', summary_date), campaign_id, sku_id,
+                                    warehouse_id ORDER BY summary_date) AS first_row,
+                   row_number() OVER (
+                       PARTITION BY date_trunc('month', summary_date), campaign_id, sku_id,
+                                    warehouse_id ORDER BY summary_date DESC) AS last_row
+            FROM {facts})
+        SELECT CAST(month_date AS VARCHAR) AS month_date, campaign_id, sku_id, warehouse_id,
+               max(product_name) FILTER (last_row = 1) AS product_name,
+               CAST(sum(total_reserved_qty) AS BIGINT) AS total_reserved_qty,
+               CAST(sum(total_cod_sold_qty) AS BIGINT) AS total_cod_sold_qty,
+               CAST(sum(total_cancelled_qty) AS BIGINT) AS total_cancelled_qty,
+               CAST(sum(total_expired_qty) AS BIGINT) AS total_expired_qty,
+               CAST(sum(total_returned_qty) AS BIGINT) AS total_returned_qty,
+               CAST(sum(total_replenished_qty) AS BIGINT) AS total_replenished_qty,
+               CAST(sum(sales_movement_qty) AS BIGINT) AS total_sales_movement_qty,
+               CAST(sum(net_movement_qty) AS BIGINT) AS total_net_movement_qty,
+               CAST(sum(event_count) AS BIGINT) AS total_event_count,
+               max(opening_sellable_stock) FILTER (first_row = 1)
+                   AS first_opening_sellable_stock,
+               max(closing_sellable_stock) FILTER (last_row = 1)
+                   AS latest_closing_sellable_stock
+        FROM ranked GROUP BY ALL"""
+
+# The latest window is the one to 25 January: it starts last and, of two, ends last.
+_WINDOWS = """
+        , windows(nth, sale, start_time, end_time) AS (VALUES
+            (1, 10, TIMESTAMP '2024-01-05 00:00:00', TIMESTAMP '2024-01-20 00:00:00'),
+            (2, 8, TIMESTAMP '2024-01-10 00:00:00', TIMESTAMP '2024-01-12 00:00:00'),
+            (3, 7, TIMESTAMP '2024-01-18 12:00:00', TIMESTAMP '2024-01-22 00:00:00'),
+            (4, 9, TIMESTAMP '2024-01-18 12:00:00', TIMESTAMP '2024-01-25 00:00:00')),
+        looked_up AS (
+            SELECT e.*, coalesce(e.promotion_applied AND e.promotion_id IS NOT NULL, false) AS promotional,
+                   p.promotion_key IS NOT NULL AS known,
+                   (SELECT max_by(w.sale, w.nth) FROM windows w
+                    WHERE p.promotion_key IS NOT NULL
+                      AND e.event_timestamp BETWEEN w.start_time AND w.end_time) AS sale,
+                   coalesce(e.event_timestamp BETWEEN TIMESTAMP '2024-01-18 12:00:00'
+                                AND TIMESTAMP '2024-01-25 00:00:00', false) AS in_last
+            FROM typed e LEFT JOIN promotions p
+              ON p.campaign_id = e.campaign_id AND p.promotion_id = e.promotion_id
+             AND p.sku_id = e.sku_id AND p.warehouse_id = e.warehouse_id)"""
+
 _RECON = "SELECT * REPLACE (CAST(recon_date AS VARCHAR) AS recon_date) FROM recon"
 
 ORACLE: dict[str, str] = {
@@ -514,6 +560,31 @@ ORACLE: dict[str, str] = {
         SELECT kafka_partition, kafka_offset, event_id, promotion_class, promotion_id,
                promotion_applied, unit_price
         FROM priced"""),
+    "register_items": _with(["firsts"], """
+        SELECT kafka_partition, kafka_offset,
+               '{' || concat_ws(',',
+                   '"event_id":"' || event_id || '"', '"campaign_id":"' || campaign_id || '"',
+                   '"event_type":"' || event_type || '"', '"quantity":' || quantity,
+                   '"promotion_id":"' || promotion_id || '"',
+                   strftime(event_timestamp, '"event_time":"%Y-%m-%dT%H:%M:%S.%fZ"')) || '}' AS item
+        FROM firsts"""),
+    "promotion_windows_overlapping": _with(["typed", "promotions"], _WINDOWS + """
+        SELECT kafka_partition, kafka_offset, event_id,
+               CASE WHEN NOT promotional THEN 'NOT_APPLIED' WHEN NOT known THEN 'UNKNOWN'
+                    WHEN sale IS NOT NULL THEN 'ACTIVE' ELSE 'OUTSIDE' END AS promotion_class,
+               CASE WHEN NOT promotional OR sale IS NOT NULL THEN promotion_id END AS promotion_id,
+               promotion_applied AND (NOT promotional OR sale IS NOT NULL) AS promotion_applied,
+               CASE WHEN NOT promotional OR NOT known THEN unit_price
+                    WHEN sale IS NOT NULL THEN sale ELSE 14 END AS unit_price
+        FROM looked_up"""),
+    "promotion_window_repeated_keys": _with(["typed", "promotions"], _WINDOWS + """
+        SELECT kafka_partition, kafka_offset,
+               CASE WHEN NOT promotional THEN 'NOT_APPLIED' WHEN NOT known THEN 'UNKNOWN'
+                    WHEN in_last THEN 'ACTIVE' ELSE 'OUTSIDE' END AS promotion_class,
+               CASE WHEN NOT promotional OR (known AND in_last) THEN promotion_id END AS promotion_id,
+               CASE WHEN NOT promotional OR NOT known THEN unit_price
+                    WHEN in_last THEN 9 ELSE 14 END AS unit_price
+        FROM looked_up"""),
     "outgoing_records": _with(["priced"], f"""
         SELECT {_KEY} AS key, event_id, event_time, event_type, order_id, promotion_id,
                promotion_applied, unit_price
@@ -602,32 +673,32 @@ ORACLE: dict[str, str] = {
                count(*) AS sku_warehouse_count,
                CAST(sum(abs(coalesce(diff_qty, 0))) AS BIGINT) AS total_abs_diff_qty
         FROM recon GROUP BY ALL"""),
-    "monthly_summary": _with(["summary"], """
-        , ranked AS (
-            SELECT *, CAST(date_trunc('month', summary_date) AS DATE) AS month_date,
-                   row_number() OVER (
-                       PARTITION BY date_trunc('month', summary_date), campaign_id, sku_id,
-                                    warehouse_id ORDER BY summary_date) AS first_row,
-                   row_number() OVER (
-                       PARTITION BY date_trunc('month', summary_date), campaign_id, sku_id,
-                                    warehouse_id ORDER BY summary_date DESC) AS last_row
-            FROM summary)
-        SELECT CAST(month_date AS VARCHAR) AS month_date, campaign_id, sku_id, warehouse_id,
-               max(product_name) FILTER (last_row = 1) AS product_name,
-               CAST(sum(total_reserved_qty) AS BIGINT) AS total_reserved_qty,
-               CAST(sum(total_cod_sold_qty) AS BIGINT) AS total_cod_sold_qty,
-               CAST(sum(total_cancelled_qty) AS BIGINT) AS total_cancelled_qty,
-               CAST(sum(total_expired_qty) AS BIGINT) AS total_expired_qty,
-               CAST(sum(total_returned_qty) AS BIGINT) AS total_returned_qty,
-               CAST(sum(total_replenished_qty) AS BIGINT) AS total_replenished_qty,
-               CAST(sum(sales_movement_qty) AS BIGINT) AS total_sales_movement_qty,
-               CAST(sum(net_movement_qty) AS BIGINT) AS total_net_movement_qty,
-               CAST(sum(event_count) AS BIGINT) AS total_event_count,
-               max(opening_sellable_stock) FILTER (first_row = 1)
-                   AS first_opening_sellable_stock,
-               max(closing_sellable_stock) FILTER (last_row = 1)
-                   AS latest_closing_sellable_stock
-        FROM ranked GROUP BY ALL"""),
+    "monthly_summary": _with(["summary"], _MONTHLY.format(facts="summary")),
+    "monthly_view_incremental": _with(["summary"], """
+        , older AS (
+            SELECT * REPLACE (CAST(0 AS BIGINT) AS event_count) FROM summary WHERE sku_id <> 'SKU_3'),
+        newer AS (
+            SELECT * FROM summary WHERE sku_id <> 'SKU_5' AND summary_date >= DATE '2024-01-20'),
+        merged AS (
+            SELECT * FROM newer
+            UNION ALL
+            SELECT o.* FROM older o ANTI JOIN newer n
+                USING (summary_date, campaign_id, sku_id, warehouse_id))"""
+        + _MONTHLY.format(facts="merged")),
+    "reconciliation_view_incremental": _with(["recon"], """
+        , older AS (
+            SELECT * REPLACE (CAST(0 AS BIGINT) AS diff_qty) FROM recon WHERE sku_id <> 'SKU_3'),
+        newer AS (
+            SELECT * FROM recon WHERE sku_id <> 'SKU_5' AND recon_date >= DATE '2024-01-20'),
+        merged AS (
+            SELECT * FROM newer
+            UNION ALL
+            SELECT o.* FROM older o ANTI JOIN newer n
+                USING (recon_date, campaign_id, sku_id, warehouse_id))
+        SELECT CAST(recon_date AS VARCHAR) AS recon_date, campaign_id, status,
+               count(*) AS sku_warehouse_count,
+               CAST(sum(abs(coalesce(diff_qty, 0))) AS BIGINT) AS total_abs_diff_qty
+        FROM merged GROUP BY ALL"""),
     "seed_inventory": _with(["inventory"], """
         SELECT inventory_key, campaign_id, sku_id, warehouse_id, product_name,
                stock AS initial_sellable_stock, stock AS current_sellable_stock,
@@ -654,6 +725,28 @@ ORACLE: dict[str, str] = {
             SELECT max(business_timestamp) - INTERVAL 7 MINUTES FROM valid
             WHERE event_type IN ('STOCK_RESERVED', 'COD_CONFIRMED'))"""),
     "stream_velocity_upsert": _with(["velocity"], _SCOPES),
+    "stream_velocity_compacted": _with(["velocity"], _SCOPES),
+    "stream_late_sales": _with(["valid"], f"""
+        , sales AS (
+            SELECT *, CASE WHEN kafka_offset >= 1000000000 THEN 2
+                           WHEN kafka_offset <= (SELECT (min(event_id) + max(event_id)) // 2 FROM events)
+                               THEN 0 ELSE 1 END AS delivery
+            FROM valid WHERE event_type IN ('STOCK_RESERVED', 'COD_CONFIRMED')),
+        marked AS (
+            SELECT *, (SELECT max(e.business_timestamp) FROM sales e WHERE e.delivery < s.delivery)
+                          AS watermark
+            FROM sales s)
+        SELECT kafka_partition, kafka_offset, event_id, {_text('business_timestamp')},
+               {_text('watermark')}
+        FROM marked
+        WHERE time_bucket(INTERVAL 5 MINUTES, business_timestamp) + INTERVAL 5 MINUTES
+              <= watermark - INTERVAL 7 MINUTES"""),
+    "stream_bounded_dedupe": _with(["typed"], """
+        SELECT kafka_partition, kafka_offset, event_id, event_type FROM typed
+        WHERE kafka_offset < 1000000000 OR event_id IS NULL
+           OR kafka_timestamp < (SELECT max(kafka_timestamp) FROM typed
+                                 WHERE kafka_offset < 1000000000) - INTERVAL 10 DAYS"""),
+    "stream_history_packed": _with(["history"], _HISTORY),
     "stream_state": _with(["history", "inventory"], _CURRENT),
     "stream_history": _with(["history"], _HISTORY),
     "stream_alerts": _with(["history", "ledger", "promotions"], _ALERTS),

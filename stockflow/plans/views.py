@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockflow import schemas
 from stockflow.functions import vocabulary as V
 from stockflow.lake import Lake
 from stockflow.plans.mart import DAILY_SUMMARY, RECONCILIATION, fact_table
+from stockflow.sinks.snapshots import SnapshotTable
 
 # Columns of the dashboard views, in order.
 INVENTORY_DASHBOARD = [
@@ -90,6 +94,55 @@ VIEWS = (
 )
 
 
+def monthly_table(spark: SparkSession, lake: Lake) -> SnapshotTable:
+    """V4, stored."""
+    path = lake.mart(VIEWS[3])
+    return SnapshotTable(spark, path, schemas.MONTHLY_VIEW, ["month_date", "campaign_id"], ["sku_id"])
+
+
+def reconciliation_table(spark: SparkSession, lake: Lake) -> SnapshotTable:
+    """V3, stored."""
+    path = lake.mart(VIEWS[2])
+    return SnapshotTable(spark, path, schemas.RECONCILIATION_VIEW, ["recon_date", "campaign_id"])
+
+
+def refresh_views(spark: SparkSession, lake: Lake) -> None:
+    """A4/A5: bring the stored aggregates up to the newest mart.
+
+    A view notes which version of its facts it reflects. Only groups of which a partition
+    has changed since then are computed anew, from the partitions of those groups alone:
+    a month of a campaign for V4, a day of a campaign for V3. If that version of the facts
+    has been forgotten, everything counts as changed.
+    """
+    _refresh(
+        fact_table(spark, lake, DAILY_SUMMARY), monthly_table(spark, lake),
+        {"month_date": F.trunc("summary_date", "month"), "campaign_id": F.col("campaign_id")},
+        monthly_summary,
+    )
+    _refresh(
+        fact_table(spark, lake, RECONCILIATION), reconciliation_table(spark, lake),
+        {"recon_date": F.col("recon_date"), "campaign_id": F.col("campaign_id")},
+        reconciliation_summary,
+    )
+
+
+def _refresh(
+    facts: SnapshotTable,
+    view: SnapshotTable,
+    groups: dict[str, Column],
+    aggregate: Callable[[DataFrame], DataFrame],
+) -> None:
+    now, since = facts.version(), view.upto()
+    if now == since:
+        return
+    changed = facts.changes(since if since in facts.versions() else 0, now)
+    changed = changed.select(*[group.alias(f"_{name}") for name, group in groups.items()]).distinct()
+    same = [group.eqNullSafe(F.col(f"_{name}")) for name, group in groups.items()]
+    rows = facts.read(now, lambda listed: listed.join(changed, same, "left_semi"))
+    view.replace(aggregate(rows), upto=now)
+    view.vacuum()
+
+
 def create_views(spark: SparkSession, lake: Lake) -> None:
     """Register the four views as temporary views over the mart tables."""
     summary = fact_table(spark, lake, DAILY_SUMMARY).read()

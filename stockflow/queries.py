@@ -8,7 +8,7 @@ so that results compare across engines. ``stockflow.oracle`` holds the SQL twins
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from stockflow import schemas
 from stockflow.functions import contract
 from stockflow.functions import events as E
+from stockflow.functions import keys as K
 from stockflow.functions import vocabulary as V
 from stockflow.lake import Lake
 from stockflow.operators import dedupe, merge, promotion, state, velocity
@@ -372,6 +373,54 @@ def promotion_window(spark, sf_dir):
     )
 
 
+@query
+def register_items(spark, sf_dir):
+    """Consumed events as JSON items without NULL attributes."""
+    first = dedupe.first_deliveries(D.typed_events(spark, sf_dir))
+    item = first.filter(dedupe.has_event_id()).withColumn("event_time", K.iso_utc("event_timestamp"))
+    names = ["event_id", "campaign_id", "event_type", "quantity", "promotion_id", "event_time"]
+    return item.select(*V.ARRIVAL, K.item_json(*names).alias("item"))
+
+
+def _overlapping_windows(spark, sf_dir) -> DataFrame:
+    """Three windows per promotion, of which some overlap, and repeated rows."""
+    config = D.promotion_config(spark, sf_dir)
+
+    def window(sale: str, start: str, end: str) -> DataFrame:
+        return config.withColumns(
+            {
+                "sale_price": F.lit(sale).cast("decimal(18,2)"),
+                "normal_price": (F.lit(sale).cast("decimal(18,2)") + 5).cast("decimal(18,2)"),
+                "start_time": F.to_timestamp(F.lit(start)),
+                "end_time": F.to_timestamp(F.lit(end)),
+            }
+        )
+
+    short = window("8.00", "2024-01-10T00:00:00Z", "2024-01-12T00:00:00Z")
+    late = window("9.00", "2024-01-18T12:00:00Z", "2024-01-25T00:00:00Z")
+    other = window("7.00", "2024-01-18T12:00:00Z", "2024-01-22T00:00:00Z")
+    return config.unionByName(short).unionByName(short).unionByName(late).unionByName(other)
+
+
+@query
+def promotion_windows_overlapping(spark, sf_dir):
+    """Several and overlapping windows per key, repeated configuration rows."""
+    return promotion.enforce_promotion_windows(
+        D.typed_events(spark, sf_dir), _overlapping_windows(spark, sf_dir)
+    ).select(
+        *V.ARRIVAL, "event_id", "promotion_class", "promotion_id",
+        "promotion_applied", "unit_price",
+    )
+
+
+@query
+def promotion_window_repeated_keys(spark, sf_dir):
+    """Of rows that repeat a key the last one counts; no event is multiplied."""
+    return promotion.enforce_promotion_window(
+        D.typed_events(spark, sf_dir), _overlapping_windows(spark, sf_dir)
+    ).select(*V.ARRIVAL, "promotion_class", "promotion_id", "unit_price")
+
+
 @query
 def latest_state_by_day(spark, sf_dir):
     """The last streamed state per business day and key."""
@@ -446,6 +495,40 @@ def _merge_into_older(spark, dataset, rows, totals):
     return _without_stamps(table.read())
 
 
+def _views_over_two_loads(spark, sf_dir) -> Lake:
+    """The stored views, refreshed after an older and again after a newer load."""
+    lake = Lake(work_path(spark, "lake"))
+    parts = (
+        (mart.DAILY_SUMMARY, _daily_summary(spark, sf_dir), "event_count"),
+        (mart.RECONCILIATION, _reconciliation(spark, sf_dir), "diff_qty"),
+    )
+    loads = []
+    for dataset, found, total in parts:
+        rows, day = stored(found, "rows"), F.col(dataset.date_column)
+        older = rows.filter("sku_id <> 'SKU_3'").withColumn(total, F.lit(0).cast("bigint"))
+        newer = rows.filter((F.col("sku_id") != "SKU_5") & (day >= "2024-01-20"))
+        loads.append((mart.fact_table(spark, lake, dataset), dataset.keys, older, newer))
+    for number in range(2):
+        for table, keys, *both in loads:
+            table.merge(stored(_fact(both[number]), "source"), keys)
+        views.refresh_views(spark, lake)
+    return lake
+
+
+@query
+def monthly_view_incremental(spark, sf_dir):
+    """A5, V4: the stored monthly sums after two loads."""
+    lake = _views_over_two_loads(spark, sf_dir)
+    return views.monthly_table(spark, lake).read()
+
+
+@query
+def reconciliation_view_incremental(spark, sf_dir):
+    """A4, V3: the stored outcome counts after two loads."""
+    lake = _views_over_two_loads(spark, sf_dir)
+    return views.reconciliation_table(spark, lake).read().drop("latest_loaded_at")
+
+
 @query
 def merge_daily_summary(spark, sf_dir):
     """K10, J6, L1 on the daily summary."""
@@ -796,6 +879,69 @@ def stream_velocity_upsert(spark, sf_dir):
     )
 
 
+def _run_by_time(spark, sf_dir, starter) -> Lake:
+    """A stream over the topic in order of message time, eight days a micro-batch."""
+    lake = Lake(work_path(spark, "stream"))
+    sent = D.messages(spark, sf_dir)
+    days = F.datediff(F.to_date("timestamp"), F.lit("2024-01-01").cast("date"))
+    root = work_path(spark, "messages")
+    sent.withColumn("part", F.floor(days / 8)).repartition("part").write.partitionBy("part").parquet(root)
+    for part in range(4):
+        folder = f"{lake.root}/inbox/{part}"
+        spark.read.schema(schemas.ENVELOPE).parquet(f"{root}/part={part}").write.parquet(folder)
+        events = E.events_from_messages(M.read_message_files(spark, f"{lake.root}/inbox/*"))
+        runner.run_to_end(
+            spark,
+            [lambda events=events: starter(events, lake, runner.AVAILABLE_NOW)],
+            partitions=STATE_PARTITIONS,
+        )
+    return lake
+
+
+@query
+def stream_velocity_compacted(spark, sf_dir):
+    """Windows behind the watermark become final every second batch."""
+
+    def start(events, lake, trigger):
+        return streams.start_velocity_upsert(events, lake, trigger, fanout=2, buckets=STATE_PARTITIONS)
+
+    lake = _run_by_time(spark, sf_dir, start)
+    return streams.read_velocity_scopes(spark, lake).drop(
+        "silver_processed_at", "updated_at"
+    )
+
+
+@query
+def stream_late_sales(spark, sf_dir):
+    """Sales whose window the watermark of earlier deliveries has closed."""
+    lake = Lake(work_path(spark, "stream"))
+    for number, folder in enumerate(_topic(spark, sf_dir)):
+        delivered = spark.read.schema(schemas.ENVELOPE).parquet(folder)
+        delivered.write.parquet(f"{lake.root}/inbox/delivery-{number}")
+        events = E.events_from_messages(M.read_message_files(spark, f"{lake.root}/inbox/*"))
+        runner.run_to_end(
+            spark,
+            [lambda events=events: streams.start_late_sales(events, lake, runner.AVAILABLE_NOW)],
+        )
+    rows = read_table(spark, lake.late_sales, f"{schemas.SILVER_MOVEMENTS}, watermark TIMESTAMP")
+    return rows.select(*V.ARRIVAL, "event_id", "business_timestamp", "watermark")
+
+
+@query
+def stream_bounded_dedupe(spark, sf_dir):
+    """ids are remembered for ten days of message time."""
+    lake, _ = _run_state(spark, sf_dir, dedupe_horizon=timedelta(days=10))
+    rows = read_table(spark, lake.accepted, schemas.ACCEPTED)
+    return rows.select(*V.ARRIVAL, "event_id", "event_type")
+
+
+@query
+def stream_history_packed(spark, sf_dir):
+    """The state history, packed after every second batch."""
+    lake, _ = _run_state(spark, sf_dir, pack_every=2)
+    return _history_output(tables.read_state_history(spark, lake))
+
+
 @query
 def stream_state(spark, sf_dir):
     """Stock per key after three deliveries."""

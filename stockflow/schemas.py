@@ -131,6 +131,19 @@ GOLD_DAILY_SUMMARY = (
 )
 FACT_RECONCILIATION = GOLD_RECONCILIATION + ", loaded_at TIMESTAMP"
 FACT_DAILY_SUMMARY = GOLD_DAILY_SUMMARY + ", loaded_at TIMESTAMP"
+MONTHLY_VIEW = (
+    "sku_id STRING, warehouse_id STRING, product_name STRING, "
+    "total_reserved_qty BIGINT, total_cod_sold_qty BIGINT, "
+    "total_cancelled_qty BIGINT, total_expired_qty BIGINT, "
+    "total_returned_qty BIGINT, total_replenished_qty BIGINT, "
+    "total_sales_movement_qty BIGINT, total_net_movement_qty BIGINT, "
+    "total_event_count BIGINT, first_opening_sellable_stock BIGINT, "
+    "latest_closing_sellable_stock BIGINT, month_date DATE, campaign_id STRING"
+)
+RECONCILIATION_VIEW = (
+    "status STRING, sku_warehouse_count BIGINT, total_abs_diff_qty BIGINT, "
+    "latest_loaded_at TIMESTAMP, recon_date DATE, campaign_id STRING"
+)
 LOAD_LOG = (
     "load_id STRING, pipeline_name STRING, source_path STRING, "
     "target_staging_table STRING, target_mart_table STRING, business_date DATE, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow import schemas
@@ -65,42 +65,47 @@ class SnapshotTable:
         return max(self.versions(), default=0)
 
     def partitions(self, version: int | None = None) -> DataFrame:
-        """The list of a version: partition columns, folder of the write, row count."""
+        """The list of a version: partition columns, folder of the write, row count.
+
+        ``upto`` is what the writer noted of its source, the same in all rows.
+        """
         version = self.version() if version is None else version
-        schema = f"{self._keys}, write STRING, n_rows BIGINT"
+        schema = f"{self._keys}, write STRING, n_rows BIGINT, upto BIGINT"
         if not version:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self._version_path(version))
 
+    def upto(self, version: int | None = None) -> int:
+        """How far into its source a version reaches; 0 for a table without rows."""
+        row = self.partitions(version).select("upto").first()
+        return (row and row["upto"]) or 0
+
     def read(self, version: int | None = None, only: Slice | None = None) -> DataFrame:
         """The rows of one version; ``only`` restricts the list of partitions first."""
         listed = self.partitions(version)
         listed = only(listed) if only else listed
-        paths = [
-            partition_dir(
-                self._data(row["write"]),
-                **{
-                    name: NULL_FOLDER if row[name] in (None, "") else row[name]
-                    for name in self.partition_cols
-                },
-            )
-            for row in listed.toLocalIterator()
-        ]
+        paths = [self._folder(row) for row in listed.toLocalIterator()]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         rows = self.spark.read.option("basePath", f"{self.path}/data")
         rows = rows.schema(f"{self.schema}, write STRING").parquet(*paths)
         return rows.select(*self._columns)
 
-    def replace(self, rows: DataFrame, emptied: Column | None = None) -> int:
+    def _folder(self, row: Row) -> str:
+        """Where a listed partition lies."""
+        values = {name: row[name] for name in self.partition_cols}
+        named = {name: NULL_FOLDER if v in (None, "") else v for name, v in values.items()}
+        return partition_dir(self._data(row["write"]), **named)
+
+    def replace(self, rows: DataFrame, emptied: Column | None = None, upto: int = 0) -> int:
         """K9: replace the partitions that occur in ``rows``; returns the new version.
 
         Partitions that meet ``emptied`` and do not occur in the rows are left out.
         """
         base = self.version()
-        return self._commit(base, self._write(rows), emptied)
+        return self._commit(base, self._write(rows), emptied, upto)
 
-    def merge(self, source: DataFrame, keys: list[str]) -> int:
+    def merge(self, source: DataFrame, keys: list[str], upto: int = 0) -> int:
         """Insert source rows, or replace the rows of the same key.
 
         ``keys`` include the partition columns. Only partitions that the source touches
@@ -109,7 +114,8 @@ class SnapshotTable:
         base = self.version()
         touched = source.select(*self.partition_cols).distinct()
         current = self.read(base, lambda listed: self._matching(listed, touched, "left_semi"))
-        return self._commit(base, self._write(merged(current, source.select(*self._columns), keys)))
+        rows = merged(current, source.select(*self._columns), keys)
+        return self._commit(base, self._write(rows), upto=upto)
 
     def _write(self, rows: DataFrame) -> DataFrame:
         """Store rows in a folder of their own and list its partitions.
@@ -142,7 +148,9 @@ class SnapshotTable:
         same = [value(name).eqNullSafe(F.col(f"_{name}")) for name in self.partition_cols]
         return listed.join(other, same, how)
 
-    def _commit(self, base: int, added: DataFrame, emptied: Column | None = None) -> int:
+    def _commit(
+        self, base: int, added: DataFrame, emptied: Column | None = None, upto: int = 0
+    ) -> int:
         """Make a version of the base and the added partitions the newest one.
 
         If another version is there already, it becomes the base, unless it has changed a
@@ -154,7 +162,9 @@ class SnapshotTable:
             if emptied is not None:
                 kept = kept.filter(~F.coalesce(emptied, F.lit(False)))
             staged = f"{self.path}/staged/{uuid.uuid4().hex}"
-            kept.unionByName(added.select(*kept.columns)).coalesce(1).write.parquet(staged)
+            kept = kept.drop("upto").unionByName(added)
+            noted = kept.withColumn("upto", F.lit(upto).cast("bigint"))
+            noted.coalesce(1).write.parquet(staged)
             if rename_new(self.spark, staged, self._version_path(base + 1)):
                 return base + 1
             drop(self.spark, staged)
@@ -169,20 +179,21 @@ class SnapshotTable:
 
     def changes(self, old: int, new: int | None = None) -> DataFrame:
         """The partitions that differ between two versions."""
-        before, after = self.partitions(old), self.partitions(new)
+        before, after = self.partitions(old).drop("upto"), self.partitions(new).drop("upto")
         either = after.exceptAll(before).union(before.exceptAll(after))
         return either.select(*self.partition_cols).distinct()
 
     def vacuum(self, keep: int = KEPT_VERSIONS) -> None:
-        """Forget all but the newest versions, and folders that only those listed."""
+        """Forget all but the newest versions, and partitions that only those listed."""
         *old, first = self.versions()[: 1 - keep] or [0]
         if not old or keep < 1:
             return
+        columns = [*self.partition_cols, "write"]
         kept = [self.partitions(version) for version in self.versions() if version >= first]
         for version in old:
-            gone = self.partitions(version).select("write").distinct()
+            gone = self.partitions(version).select(*columns)
             for listed in kept:
-                gone = gone.join(listed.select("write"), "write", "left_anti")
-            for row in gone.collect():
-                drop(self.spark, self._data(row["write"]))
+                gone = gone.exceptAll(listed.select(*columns))
+            for row in gone.toLocalIterator():
+                drop(self.spark, self._folder(row))
             drop(self.spark, self._version_path(version))

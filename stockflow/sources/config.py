@@ -29,8 +29,12 @@ def read_initial_inventory(
 def read_promotion_config(
     spark: SparkSession, path: str, campaign_id: str | None = None
 ) -> DataFrame:
-    """Promotions with their windows as instants."""
-    rows = _of_campaign(_csv(spark, path, schemas.PROMOTION_CONFIG), campaign_id)
+    """Promotions with their windows as instants, and each row's place in the files."""
+    rows = _csv(spark, path, schemas.PROMOTION_CONFIG).withColumn(
+        "config_row",
+        F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()),
+    )
+    rows = _of_campaign(rows, campaign_id)
     return rows.withColumns(
         {name: F.try_to_timestamp(name) for name in ["start_time", "end_time"]}
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stockflow import schemas
 from stockflow.lake import Lake
 from stockflow.operators.dedupe import keep_first
+from stockflow.sinks.snapshots import SnapshotTable
 from stockflow.storage import read_table
 
 
@@ -63,16 +64,36 @@ def read_alerts(spark: SparkSession, lake: Lake) -> DataFrame:
     return finished(spark, lake, read_table(spark, lake.alerts, schemas.ALERTS))
 
 
+def packed_history(spark: SparkSession, lake: Lake) -> SnapshotTable:
+    """The part of the state history that has been packed."""
+    keys = ["business_date", "campaign_id"]
+    return SnapshotTable(
+        spark, lake.packed_history, schemas.STATE_HISTORY, keys, ["sku_id", "warehouse_id"]
+    )
+
+
 def read_state_history(
     spark: SparkSession,
     lake: Lake,
     date: str | None = None,
     campaign_id: str | None = None,
 ) -> DataFrame:
-    """State history of a day. A day without history has no rows."""
+    """State history of a day. A day without history has no rows.
+
+    What one version of the packed table holds, and of later batches their folders.
+    """
+    table = packed_history(spark, lake)
+    version = table.version()
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        return of_slice(rows, "business_date", date, campaign_id)
+
     history = read_table(spark, lake.state_history, schemas.STATE_HISTORY)
-    history = finished(spark, lake, history)
-    return of_slice(history, "business_date", date, campaign_id)
+    history = sliced(finished(spark, lake, history))
+    if not version:
+        return history
+    loose = history.filter(F.col("batch_id") >= table.upto(version))
+    return table.read(version, sliced).unionByName(loose)
 
 
 def read_gold(

@@ -96,10 +96,17 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     return bool(system.globStatus(location))
 
 
-def children(spark: SparkSession, pattern: str) -> list[str]:
-    """The names of the paths that match a pattern with wildcards, ascending."""
+def children(spark: SparkSession, pattern: str, whole: bool = False) -> list[str]:
+    """The names, or ``whole`` paths, that match a pattern with wildcards, ascending."""
     system, location = _file_system(spark, pattern)
-    return sorted(found.getPath().getName() for found in system.globStatus(location) or [])
+    found = [status.getPath() for status in system.globStatus(location) or []]
+    return sorted(path.toString() if whole else path.getName() for path in found)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create an empty folder, if it does not exist."""
+    system, location = _file_system(spark, path)
+    system.mkdirs(location)
 
 
 def bytes_below(spark: SparkSession, path: str) -> int:

@@ -36,7 +36,7 @@ def start_all(
     trigger: S.Trigger = None,
     partitions: int | None = None,
 ) -> list[StreamingQuery]:
-    """The six queries over one derived stream.
+    """The seven queries over one derived stream.
 
     ``trigger`` replaces the default triggers of all of them, ``partitions`` the
     session's number of state partitions.
@@ -52,6 +52,7 @@ def start_all(
             S.start_silver_invalid(events, lake, trigger),
             S.start_velocity(events, lake, trigger),
             S.start_velocity_upsert(events, lake, keyed),
+            S.start_late_sales(events, lake, trigger),
         ]
 
 

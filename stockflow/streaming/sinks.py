@@ -11,25 +11,34 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stockflow import schemas
 from stockflow.functions import vocabulary as V
+from stockflow.functions.events import is_sale
 from stockflow.lake import Lake
 from stockflow.operators.dedupe import first_deliveries
 from stockflow.operators.running import BLOCK_OFFSETS
 from stockflow.operators.state import accepted_columns, apply_events
-from stockflow.operators.velocity import sales_velocity, velocity_scope_rows
+from stockflow.operators.velocity import (
+    WATERMARK,
+    WINDOW,
+    sales_velocity,
+    velocity_scope_rows,
+)
+from stockflow.sinks.history import append_history, pack_history
 from stockflow.sinks.id_ledger import IdLedger
 from stockflow.sinks.keyed_log import KeyedLog
-from stockflow.sinks.leveled import BUCKETS, FANOUT
-from stockflow.sinks.partitions import overwrite_partitions
+from stockflow.sinks.leveled import BUCKETS, FANOUT, LeveledRuns
 from stockflow.sinks.projections import (
     bronze_rows,
     silver_invalid_rows,
     silver_movement_rows,
 )
+from stockflow.sinks.snapshots import SnapshotTable
 from stockflow.sources.tables import last_finished
-from stockflow.storage import drop, exists, read_table
+from stockflow.storage import children, drop, exists, make_folder, read_table
 
 # Fixed value: trigger of the keyed sinks; the lake sinks use Spark's default.
 KEYED_TRIGGER = {"processingTime": "15 seconds"}
+# Batches after which the state history is packed.
+PACK_EVERY = 100
 Trigger = dict[str, object] | None
 
 
@@ -40,7 +49,10 @@ def _start(
     trigger: Trigger,
     sink: Callable,
 ) -> StreamingQuery:
+    name = checkpoint.rpartition("/")[2]
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    if all(query.name != name for query in rows.sparkSession.streams.active):
+        writer = writer.queryName(name)
     if trigger:
         writer = writer.trigger(**trigger)
     return sink(writer)
@@ -105,13 +117,71 @@ def start_velocity(events: DataFrame, lake: Lake, trigger: Trigger = None):
 class VelocityUpsert:
     """K6: keep the last value per scope and window.
 
-    A batch writes its absolute values to a folder of its own and reads nothing, so a
-    replay repeats the same rows in the same place, and a crash loses no other scope.
-    ``read_velocity_scopes`` takes the newest value per key.
+    Open windows are runs of versions, bucketed and merged by level, so a batch writes its
+    absolute values only and a replay repeats them in the same place. Windows that the
+    watermark has passed change no more: every ``fanout`` batches they move to a table of
+    final values by day, and the next merge leaves them out. So neither the
+    folders nor the versions that a reader ranks grow with the number of triggers.
     """
 
-    def __init__(self, lake: Lake):
-        self.lake = lake
+    def __init__(self, spark: SparkSession, lake: Lake, fanout: int = FANOUT, buckets: int = BUCKETS):
+        self.spark = spark
+        self.root = lake.velocity_scopes
+        self.keys = ["velocity_scope", "window_start"]
+        self.versions = LeveledRuns(
+            spark, f"{self.root}/open", f"{schemas.VELOCITY_SCOPE}, batch_id BIGINT",
+            self.keys, self._open, fanout, buckets,
+        )
+        self.final = SnapshotTable(
+            spark, f"{self.root}/final", schemas.VELOCITY_SCOPE,
+            ["window_date"], ["window_hour", "velocity_scope"],
+        )
+
+    def _last(self) -> int | None:
+        """The newest batch that is complete."""
+        marks = children(self.spark, f"{self.root}/finished/batch=*")
+        return max((int(mark.split("=")[1]) for mark in marks), default=None)
+
+    def _closed_before(self, version: int) -> datetime | None:
+        """All windows that end by then are final: the end of the last final one."""
+        listed = self.final.partitions(version)
+        day = listed.agg(F.max("window_date")).first()[0]
+        if day is None:
+            return None
+        rows = self.final.read(version, lambda listed: listed.filter(F.col("window_date") == day))
+        return rows.agg(F.max("window_end")).first()[0]
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        newest = Window.partitionBy(*self.keys).orderBy(F.desc("batch_id"))
+        return (
+            rows.withColumn("_rank", F.row_number().over(newest))
+            .filter(F.col("_rank") == 1)
+            .drop("_rank")
+        )
+
+    def _open(self, rows: DataFrame, version: int | None = None) -> DataFrame:
+        """The newest rows of windows that a version of the final table does not hold."""
+        closed = self._closed_before(self.final.version() if version is None else version)
+        if closed is not None:
+            rows = rows.filter(F.col("window_end") > F.lit(closed))
+        return self._newest(rows)
+
+    def _close(self, batch_id: int) -> None:
+        """Move windows to the final table that this batch and later ones cannot change.
+
+        A batch drops what is behind the watermark of the batches before it. The newest
+        window seen two batches ago started no later than the newest sale then, so the
+        stream's watermark is past what lies the delay before that start.
+        """
+        rows = self._open(self.versions.read(batch_id))
+        seen = rows.filter(F.col("batch_id") <= batch_id - 2).agg(F.max("window_start")).first()[0]
+        if seen is None:
+            return
+        behind = F.col("window_end") <= F.lit(seen) - F.expr(f"INTERVAL {WATERMARK}")
+        closed = rows.filter(behind).drop("batch_id")
+        if not closed.isEmpty():
+            self.final.merge(closed, ["window_date", *self.keys])
+            self.final.vacuum()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         now = F.lit(datetime.now(timezone.utc))
@@ -119,32 +189,79 @@ class VelocityUpsert:
             velocity_scope_rows(batch)
             .withColumn("silver_processed_at", now)
             .withColumn("updated_at", now)
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         )
-        (
-            rows.hint("rebalance", F.col("window_date"), F.col("window_hour"))
-            .write.mode("overwrite")
-            .partitionBy("window_date", "window_hour")
-            .parquet(f"{self.lake.velocity_scopes}/batch_id={batch_id}")
-        )
+        self.versions.forget(batch_id)
+        self.versions.write(rows.select(*schemas.column_names(schemas.VELOCITY_SCOPE), "batch_id"), batch_id)
+        if (batch_id + 1) % self.versions.fanout == 0:
+            self._close(batch_id)
+        self.versions.finish(batch_id)
+        make_folder(self.spark, f"{self.root}/finished/batch={batch_id}")
+        drop(self.spark, f"{self.root}/finished/batch={batch_id - 2}")
+
+    def read(self) -> DataFrame:
+        """The newest value per scope and window; days prune folders, hours prune files."""
+        last, version = self._last(), self.final.version()
+        final = self.final.read(version)
+        if last is None:
+            return final
+        rows = self._open(self.versions.read(last + 1), version).drop("batch_id")
+        return final.unionByName(rows)
 
 
 def read_velocity_scopes(spark: SparkSession, lake: Lake) -> DataFrame:
-    """K6: the newest value per scope and window; days and hours prune folders."""
-    newest = Window.partitionBy(
-        "velocity_scope", "window_start", "window_date", "window_hour"
-    ).orderBy(F.desc("batch_id"))
-    rows = read_table(
-        spark, lake.velocity_scopes, f"{schemas.VELOCITY_SCOPE}, batch_id BIGINT"
-    )
-    return (
-        rows.withColumn("_rank", F.row_number().over(newest))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank", "batch_id")
+    """K6: the newest value per scope and window."""
+    return VelocityUpsert(spark, lake).read()
+
+
+class LateSales:
+    """The sales that velocity drops because the watermark has closed their window.
+
+    The watermark of a batch comes from the batches before it, as in the stream. It is kept
+    per batch, so a replay finds the same one.
+    """
+
+    def __init__(self, spark: SparkSession, lake: Lake):
+        self.spark = spark
+        self.lake = lake
+
+    def _mark(self, batch_id: int) -> str:
+        return f"{self.lake.late_sales}_watermark/batch={batch_id}"
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        sales = batch.filter(is_sale())
+        before = read_table(self.spark, self._mark(batch_id - 1), "at TIMESTAMP").first()
+        newest = before and before["at"]
+        window_end = F.window("business_timestamp", WINDOW)["end"]
+        behind = F.lit(False) if newest is None else (
+            window_end <= F.lit(newest) - F.expr(f"INTERVAL {WATERMARK}")
+        )
+        late = silver_movement_rows(sales.filter(behind))
+        late.withColumn("watermark", F.lit(newest).cast("timestamp")).write.mode("overwrite").parquet(
+            f"{self.lake.late_sales}/batch_id={batch_id}"
+        )
+        at = sales.agg(F.greatest(F.max("business_timestamp"), F.lit(newest)).alias("at"))
+        at.write.mode("overwrite").parquet(self._mark(batch_id))
+        drop(self.spark, self._mark(batch_id - 2))
+
+
+def start_late_sales(events: DataFrame, lake: Lake, trigger: Trigger = None):
+    """Keep the sales that come too late for their window."""
+    return _start(
+        events,
+        lake.checkpoint("late_sales"),
+        "append",
+        trigger,
+        lambda writer: writer.foreachBatch(LateSales(events.sparkSession, lake)).start(),
     )
 
 
 def start_velocity_upsert(
-    events: DataFrame, lake: Lake, trigger: Trigger = KEYED_TRIGGER
+    events: DataFrame,
+    lake: Lake,
+    trigger: Trigger = KEYED_TRIGGER,
+    fanout: int = FANOUT,
+    buckets: int = BUCKETS,
 ):
     """The same aggregate as K4 in update mode, the newest value per key."""
     return _start(
@@ -152,7 +269,9 @@ def start_velocity_upsert(
         lake.checkpoint("sales_velocity_5m"),
         "update",
         trigger,
-        lambda writer: writer.foreachBatch(VelocityUpsert(lake)).start(),
+        lambda writer: writer.foreachBatch(
+            VelocityUpsert(events.sparkSession, lake, fanout, buckets)
+        ).start(),
     )
 
 
@@ -175,8 +294,10 @@ class StateSink:
         buckets: int = BUCKETS,
         block_offsets: int = BLOCK_OFFSETS,
         dedupe_horizon: timedelta | None = None,
+        pack_every: int = PACK_EVERY,
     ):
         self.spark = spark
+        self.pack_every = pack_every
         self.lake = lake
         self.block_offsets = block_offsets
         self.consumed = IdLedger(spark, lake.consumed_ids, dedupe_horizon, fanout, buckets)
@@ -267,7 +388,7 @@ class StateSink:
         )
         effects.ledger.persist()
         try:
-            self._append_history(effects.history, batch_id)
+            append_history(self.lake, effects.history, batch_id)
             effects.alerts.write.mode("overwrite").parquet(
                 f"{self.lake.alerts}/batch_id={batch_id}"
             )
@@ -276,14 +397,6 @@ class StateSink:
         finally:
             effects.ledger.unpersist()
 
-    def _append_history(self, history: DataFrame, batch_id: int) -> None:
-        """K7: the batch is the last partition level, so a replay replaces itself."""
-        overwrite_partitions(
-            history.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
-            self.lake.state_history,
-            ["business_date", "campaign_id", "batch_id"],
-        )
-
     def _finish(self, batch_id: int) -> None:
         """Merge what the batch completes, then mark it for readers."""
         for log in self._logs:
@@ -294,6 +407,8 @@ class StateSink:
         )
         # The mark before last is no longer needed; one is always there.
         drop(self.spark, f"{marks}/batch_id={batch_id - 2}")
+        if (batch_id + 1) % self.pack_every == 0:
+            pack_history(self.spark, self.lake)
 
     def last_finished(self) -> int | None:
         """The newest batch whose outputs are complete."""

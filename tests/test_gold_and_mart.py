@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import os
 from datetime import date, datetime, timezone
 
 import pytest
@@ -19,9 +18,8 @@ from stockflow.sources.config import (
 )
 from stockflow.sources.tables import read_state_history, valid_movements
 from stockflow.operators.movement import net_movement
-from stockflow.storage import drop, partition_dir, read_table, stored
+from stockflow.storage import partition_dir, read_table, stored
 from tests.conftest import values
-from tests.test_operators import plan_of
 
 SF = "/root/testdata/sf0.01"
 DAY = date(2024, 1, 15)
