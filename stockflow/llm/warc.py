@@ -26,7 +26,6 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # An archive is closed once it holds so many bytes.
 ARCHIVE_BYTES = 64 << 20
 _READ = 1 << 18
-_MAX_HEADER = 1 << 16
 
 
 def digest(data: bytes) -> str:
@@ -102,7 +101,7 @@ def parse(data: bytes, start: int = 0) -> tuple[Record, int]:
     version = VERSION.match(data, start)
     if not version:
         raise Broken("version line")
-    stop = data.find(b"\r\n\r\n", start, start + _MAX_HEADER)
+    stop = data.find(b"\r\n\r\n", start)
     if stop < 0:
         raise Broken("end of header")
     fields = {}
@@ -148,87 +147,181 @@ class _Window:
         self.data, self.start = self.data[position - self.start :], position
 
 
-def _member(window: _Window, at: int) -> tuple[bytes, int]:
-    """What a gzip member holds, and where it ends."""
-    press, out, position = zlib.decompressobj(31), [], at
-    while not press.eof:
-        window.upto(position + _READ)
-        part = window.data[position - window.start : position - window.start + _READ]
+class _Inflated:
+    """The bytes inside a gzip member, as a window; they are decoded when needed.
+
+    What was decoded before an error counts. ``position`` is how far the file was read,
+    ``error`` why decoding stopped before the member's end.
+    """
+
+    def __init__(self, window: _Window, at: int):
+        self.window, self.position, self.error = window, at, ""
+        self.press = zlib.decompressobj(31)
+        self.start, self.data, self.size = 0, b"", float("inf")
+
+    def upto(self, end: int) -> bool:
+        parts, have = [self.data], self.start + len(self.data)
+        while have < end and have < self.size:
+            parts.append(self._more())
+            have += len(parts[-1])
+            if self.error or self.press.eof:
+                self.size = have
+        self.data = b"".join(parts)
+        return have >= end
+
+    def drop(self, position: int) -> None:
+        self.data, self.start = self.data[position - self.start :], position
+
+    def _more(self) -> bytes:
+        self.window.upto(self.position + _READ)
+        inside = self.position - self.window.start
+        part = self.window.data[inside : inside + _READ]
         if not part:
-            raise Broken("end of member")
+            self.error = "end of member"
+            return b""
+        before = self.press.copy()
         try:
-            out.append(press.decompress(part))
+            out = self.press.decompress(part)
         except zlib.error as error:
-            raise Broken(str(error)) from None
-        position += len(part)
-    return b"".join(out), position - len(press.unused_data)
-
-
-def _one(window: _Window, at: int) -> tuple[list[Record], int]:
-    """The records that start at a position: of a gzip member, or one plain record."""
-    window.upto(at + 3)
-    head = window.data[at - window.start : at - window.start + 3]
-    if head == GZIP:
-        data, end = _member(window, at)
-        records, inside = [], 0
-        while inside < len(data):
-            record, inside = parse(data, inside)
-            records.append(record)
-        if not records:
-            raise Broken("empty member")
-        return records, end
-    window.upto(at + _MAX_HEADER)
+            self.error = str(error)
+            return _decoded(before, part)
+        self.position += len(part) - len(self.press.unused_data)
+        # The member's first bytes are not needed again unless it breaks, which reads anew.
+        self.window.drop(self.position)
+        return out
+
+
+def _decoded(press, part: bytes) -> bytes:
+    """All that can be decoded of bytes that hold an error."""
+    out, step = [], 256
+    while part:
+        before = press.copy()
+        try:
+            out.append(press.decompress(part[:step]))
+            part = part[step:]
+        except zlib.error:
+            if step == 1:
+                break
+            press, step = before, 1
+    return b"".join(out)
+
+
+def _plain(window: _Window | _Inflated, at: int) -> tuple[Record, int]:
+    """The record that starts at a position of a window, and where it ends."""
+    window.upto(at + _READ)
     while True:
+        have = window.start + len(window.data)
         try:
             record, end = parse(window.data, at - window.start)
-            return [record], end + window.start
+            return record, end + window.start
         except Broken as error:
-            # The block may reach beyond the window; its length says how far.
-            text = window.data[at - window.start :][:_MAX_HEADER].partition(b"\r\n\r\n")[0]
+            # Header and block may reach beyond the window; the length says how far.
+            if str(error) == "end of header" and have < window.size:
+                window.upto(have + max(_READ, have - at))
+                continue
+            text = window.data[at - window.start :].partition(b"\r\n\r\n")[0]
             need = re.search(rb"(?i)\r\ncontent-length:\s*(\d{1,15})\s*(?:\r\n|$)", text)
             if str(error) != "end of record" or not need:
                 raise
             end = at + len(text) + 8 + int(need[1])
-            have = window.start + len(window.data)
             if have >= min(end, window.size) or end > window.size:
                 raise
             window.upto(end)
 
 
-def salvage(file) -> Iterator[tuple[str, int, int, object]]:
-    """('record', start, end, Record) and ('gap', start, end, reason) of an archive.
-
-    After a failed check the next gzip member or version line that opens a valid record
-    is searched, and the bytes in between are reported as a gap; nothing else is lost.
-    Memory is bounded by the longest record.
-    """
-    window, at, gap, reason = _Window(file), 0, None, ""
-    while at < window.size:
+def _inside(window: _Inflated) -> Iterator[tuple[str, int, int, object]]:
+    """Records and gaps of decoded bytes, in their positions."""
+    at, gap, reason = 0, None, ""
+    while window.upto(at + 1):
         try:
-            records, end = _one(window, at)
+            record, end = _plain(window, at)
         except Broken as error:
             if gap is None:
                 gap, reason = at, str(error)
-            at = _candidate(window, at + 1)
+            at = _candidate(window, at + 1, members=False)
             window.drop(min(at, window.start + len(window.data)))
             continue
         if gap is not None:
             yield "gap", gap, at, reason
             gap = None
-        for record in records:
-            yield "record", at, end, record
+        yield "record", at, end, record
         at = end
         window.drop(at)
     if gap is not None:
         yield "gap", gap, window.size, reason
 
 
-def _candidate(window: _Window, at: int) -> int:
-    """The next position where a member or a version line may start, or the end."""
+def _member(window: _Window, at: int) -> Iterator[tuple[str, int, int, object]]:
+    """Records and gaps of a gzip member; then how it ended, as ('end', start, end, error)."""
+    inner, held, found = _Inflated(window, at), None, 0
+    for kind, low, high, what in _inside(inner):
+        if kind == "gap":
+            # The rest of a member that breaks off is part of the gap that it leaves.
+            if not (inner.error and high == inner.size):
+                yield "gap", at, inner.position, f"{what} in decoded bytes {low} to {high}"
+            continue
+        if held is not None:
+            yield "record", at, inner.position, held
+        held, found = what, found + 1
+    if held is not None:
+        yield "record", at, inner.position, held
+    yield "end", at, inner.position, inner.error or ("" if found else "empty member")
+
+
+def salvage(file) -> Iterator[tuple[str, int, int, object]]:
+    """('record', start, end, Record) and ('gap', start, end, reason) of an archive.
+
+    After a failed check the next gzip member or version line that opens a valid record
+    is searched, and the bytes in between are reported as a gap. Inside a member the search
+    goes on in the decoded bytes, so one bad record costs that record; of a member that is
+    cut off or damaged the records before the damage are returned. Positions are those of
+    the file, for records of a member those of the member as far as it was read. Memory is
+    bounded by the longest record.
+    """
+    window, at, gap, reason = _Window(file), 0, None, ""
     while at < window.size:
+        window.upto(at + 3)
+        member = window.data[at - window.start : at - window.start + 3] == GZIP
+        error, after = "", at
+        if member:
+            for kind, low, high, what in _member(window, at):
+                if kind == "end":
+                    error, after = what, high
+                    continue
+                if gap is not None:
+                    yield "gap", gap, at, reason
+                    gap = None
+                yield kind, low, high, what
+        else:
+            try:
+                record, after = _plain(window, at)
+            except Broken as broken:
+                error = str(broken)
+            else:
+                if gap is not None:
+                    yield "gap", gap, at, reason
+                    gap = None
+                yield "record", at, after, record
+        if error:
+            if gap is None:
+                gap, reason = at, error
+            if window.start > at:  # a member's first bytes were let go
+                window.start, window.data = at, b""
+            after = _candidate(window, at + 1)
+        at = after
+        window.drop(min(at, window.start + len(window.data)))
+        if window.start < at:
+            window.start, window.data = at, b""
+    if gap is not None:
+        yield "gap", gap, window.size, reason
+
+
+def _candidate(window: _Window | _Inflated, at: int, members: bool = True) -> int:
+    """The next position where a member or a version line may start, or the end."""
+    while window.upto(at + 1):
         window.upto(at + _READ)
         inside = at - window.start
-        member = window.data.find(GZIP, inside)
+        member = window.data.find(GZIP, inside) if members else -1
         line = VERSION.search(window.data, inside)
         found = [p for p in (member, line.start() if line else -1) if p >= 0]
         if found:

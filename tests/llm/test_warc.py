@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import io
 import os
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -40,7 +41,7 @@ def expected(rows, least=0):
 ROWS = [
     (5, "http://a/", "<p>same</p>"), (3, "http://b/", "<p>same</p>"), (9, None, "<p>same</p>"), (1, "http://c/", None),
     (2, "http://c/\r\nx: y", ""), (4, "u", "é 漢字 \r\n\r\nWARC/1.1\r\nfake"), (7, "u", "x" * 300_000), (8, "u", "one"),
-    (8, "u", "one"), (None, "u", "<p>same</p>"), (None, "u", "alone"),
+    (8, "u", "one"), (None, "u", "<p>same</p>"), (None, "u", "alone"), (11, "http://h/" + "q" * 100_000, "long url"),
 ]
 
 
@@ -89,7 +90,11 @@ def test_cut_ends_and_strange_heads_are_gaps(press):
     found = kinds(data)
     assert found[0] == ("gap", 0, len(junk))
     assert found[1] == ("record", len(junk), len(junk) + len(one))
-    assert found[2][0] == "gap" and found[2][2] == len(data) and len(found) == 3
+    if press is warc._gzip:  # only the member's checksum is cut off, not its record
+        start = len(data) - len(two) + 7
+        assert found[2:] == [("gap", start - 4, start), ("record", start, len(data)), ("gap", start, len(data))]
+    else:
+        assert found[2][0] == "gap" and found[2][2] == len(data) and len(found) == 3
 
 
 def test_a_record_longer_than_the_window_and_mixed_forms():
@@ -101,3 +106,41 @@ def test_an_empty_file_and_a_wrong_digest():
     assert kinds(b"") == []
     wrong = record(1).replace(b"hello", b"hallo")
     assert kinds(wrong + record(2)) == [("gap", 0, len(wrong)), ("record", len(wrong), len(wrong) + len(record(2)))]
+
+
+def test_a_bad_record_inside_a_member_costs_that_record():
+    parts = [record(k, f"payload {k} ".encode() * 40) for k in range(20)]
+    bad = parts[7].replace(b"payload 7", b"payload X")
+    for press in (lambda d: d, warc._gzip):
+        data = press(b"".join([*parts[:7], bad, *parts[8:]])) + press(record(50))
+        found = list(warc.salvage(File(data)))
+        keys = [what.fields["warc-record-id"] for kind, _, _, what in found if kind == "record"]
+        assert keys == [warc.record_id(k) for k in [*range(7), *range(8, 20), 50]]
+        gaps = [one for one in found if one[0] == "gap"]
+        assert len(gaps) == 1 and gaps[0][3].startswith("block digest")
+
+
+def test_a_damaged_or_cut_member_keeps_the_records_before():
+    rng = random.Random(3)
+    parts = [record(k, rng.randbytes(30_000)) for k in range(20)]
+    whole = warc._gzip(b"".join(parts))
+    cut = whole[: len(whole) * 3 // 5]
+    flipped = bytearray(whole)
+    flipped[len(whole) // 2] ^= 0xFF
+    for data, least in ((cut, 10), (bytes(flipped), 8), (cut + warc._gzip(record(60)), 10)):
+        found = list(warc.salvage(File(data)))
+        keys = [what.fields["warc-record-id"] for kind, _, _, what in found if kind == "record"]
+        first = [k for k in keys if k != warc.record_id(60)]
+        assert first[:least] == [warc.record_id(k) for k in range(least)] and len(first) < 20
+        assert (warc.record_id(60) in keys) == data.endswith(warc._gzip(record(60)))
+        assert any(kind == "gap" for kind, *_ in found)
+
+
+def test_long_members_are_read_piece_by_piece():
+    data = warc._gzip(b"".join(record(k, b"z" * 50_000) for k in range(400)))
+    window = warc._Window(File(data))
+    most = 0
+    for kind, *_ in warc._member(window, 0):
+        most = max(most, len(window.data))
+    assert kind == "end" and most <= 2 * warc._READ
+    assert [kind for kind, *_ in warc.salvage(File(data))] == ["record"] * 400
