@@ -16,9 +16,8 @@ from stockflow.storage import stored
 
 # Tokens of a repeat worth removing.
 DEPTH = 8
-# Pages of a host that must share it: so many, and this part of them.
+# Different pages of a host that must share it.
 MIN_PAGES = 3
-MIN_RATIO = 0.05
 
 # Elements by what they mean for the text.
 BLOCKS = set(
@@ -45,6 +44,11 @@ NAMES = re.compile(
     r"|comment|comments|commentlist|disqus|respond|reply|replies|discussion|toolbar|skip-link|copyright|legal"
     r"|disclaimer|header)(?![a-z])"
 )
+# Parts of a class name that tell how the element is set, not what it is, and
+# names of which a header is the article's own.
+_SETTINGS_FIRST = set("has no not with without is are show hide enable js".split())
+_SETTINGS_LAST = set("open closed enabled disabled on off visible active layout ready".split())
+_OWN_HEADER = re.compile(r"(?:article|post|entry|content|story|main)[-_]+header")
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.DOTALL,
@@ -53,27 +57,67 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s
 # Elements whose open tag ends an open paragraph or item.
 _CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 KEEP, DROP, OPEN = 2, 0, 1
+# States that the whole page decides: an article in something a class word names, and a form.
+MAYBE, FORM = 3, 4
 
 
-def _verdict(name: str, attributes: str, inside: bool) -> int | None:
-    """What an element says about its content: DROP, KEEP, or nothing."""
+def _named(value: str) -> bool:
+    """Whether a class or an id names what is not the article."""
+    for token in value.split():
+        parts = re.split("[-_]+", token)
+        if parts[0] in _SETTINGS_FIRST or parts[-1] in _SETTINGS_LAST:
+            continue
+        if NAMES.search(token) and not _OWN_HEADER.fullmatch(token):
+            return True
+    return False
+
+
+def _verdict(name: str, attributes: str, inside: bool) -> tuple[int | None, bool]:
+    """What an element says about its content: DROP, KEEP, FORM or nothing; if by its name.
+
+    Class words do not speak against an article, main part or article body itself.
+    """
     if name in HIDDEN or name in BOILERPLATE:
-        return DROP
+        return (FORM if name == "form" else DROP), True
     if name == "header":
-        return None if inside else DROP
-    found = None
-    if attributes:
-        for key, *values in _ATTRIBUTE.findall(attributes):
-            key, value = key.lower(), next((v for v in values if v), "").lower()
-            if key == "hidden" or key == "aria-hidden" and value == "true":
-                return DROP
-            if key == "role" and value in ROLES:
-                return DROP
-            if key == "role" and value in ("main", "article") or key == "itemprop" and value == "articlebody":
-                found = KEEP
-            if key in ("class", "id") and name not in ("html", "body") and NAMES.search(value):
-                return DROP
-    return KEEP if name in ("article", "main") else found
+        return (None if inside else DROP), True
+    found, named = KEEP if name in ("article", "main") else None, False
+    for key, *values in _ATTRIBUTE.findall(attributes or ""):
+        key, value = key.lower(), next((v for v in values if v), "").lower()
+        if key == "hidden" or key == "aria-hidden" and value == "true":
+            return DROP, True
+        if key == "role" and value in ROLES:
+            return DROP, True
+        if key == "role" and value in ("main", "article") or key == "itemprop" and value == "articlebody":
+            found = KEEP
+        if key in ("class", "id") and name not in ("html", "body"):
+            named = named or _named(value)
+    return (DROP if named and found is None else found), False
+
+
+def _next(state: int, verdict: int | None, soft: bool) -> int:
+    """The state inside an element; ``soft`` is whether only class words and forms dropped."""
+    if verdict is None:
+        return state
+    if state in (DROP, FORM):
+        return MAYBE if verdict == KEEP and soft else state
+    if verdict == FORM:
+        return FORM if state == OPEN else DROP
+    if state == MAYBE:
+        return DROP if verdict == DROP else MAYBE
+    return verdict
+
+
+def _decided(page: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """The blocks with the states that the whole page decides.
+
+    An article within something a class word or a form dropped counts if the page has no
+    other, and a form's content if the page has nothing else.
+    """
+    states = {state for _, state in page}
+    maybe = DROP if KEEP in states else KEEP
+    form = OPEN if not states & {KEEP, MAYBE, OPEN} else DROP
+    return [(text, {MAYBE: maybe, FORM: form}.get(state, state)) for text, state in page]
 
 
 def blocks(source: str) -> list[tuple[str, int]]:
@@ -82,9 +126,10 @@ def blocks(source: str) -> list[tuple[str, int]]:
     KEEP stands in an article, DROP in an element that says it is none, OPEN elsewhere.
     """
     out: list[tuple[str, int]] = []
-    stack: list[tuple[str, int, bool, bool]] = []
+    stack: list[tuple[str, int, bool, bool, bool]] = []
+    opened: dict[str, int] = {}
     parts: list[str] = []
-    state, inside, mute, at, size = OPEN, False, False, 0, len(source)
+    state, inside, mute, soft, at, size = OPEN, False, False, True, 0, len(source)
 
     def flush():
         if parts:
@@ -106,14 +151,15 @@ def blocks(source: str) -> list[tuple[str, int]]:
             continue
         name = name.lower()
         if close:
-            if any(open_name == name for open_name, *_ in stack):
+            if opened.get(name):
                 if name in BLOCKS:
                     flush()
                 while stack:
-                    open_name, old, was, muted = stack.pop()
+                    open_name, old, was, muted, softly = stack.pop()
+                    opened[open_name] -= 1
                     if old != state or open_name in BLOCKS:
                         flush()
-                    state, inside, mute = old, was, muted
+                    state, inside, mute, soft = old, was, muted, softly
                     if open_name == name:
                         break
             elif name in BLOCKS:
@@ -126,28 +172,31 @@ def blocks(source: str) -> list[tuple[str, int]]:
             flush()
             ends = _CLOSES.get(name, "").split()
             if ends and stack and stack[-1][0] in ends or stack and stack[-1][0] == "p":
-                _, state, inside, mute = stack.pop()
+                open_name, state, inside, mute, soft = stack.pop()
+                opened[open_name] -= 1
         if name in VOID:
             continue
         if attributes.rstrip().endswith("/") and name in HIDDEN - RAW:
             continue
-        verdict = _verdict(name, attributes, inside)
+        verdict, certain = _verdict(name, attributes, inside)
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(source, at)
             at = end.end() if end else size
             continue
-        stack.append((name, state, inside, mute))
+        stack.append((name, state, inside, mute, soft))
+        opened[name] = opened.get(name, 0) + 1
         # What goes inside a line leaves the line whole.
         if verdict == DROP and (name in HIDDEN or name not in BLOCKS):
             mute = True
             continue
-        new = verdict if state != DROP and verdict is not None else state
+        new = _next(state, verdict, soft)
         if new != state:
             flush()
-        inside = inside or new == KEEP
+        soft = soft and not (verdict == DROP and certain)
+        inside = inside or new in (KEEP, MAYBE)
         state = new
     flush()
-    return out
+    return _decided(out)
 
 
 def suffix_heads(streams: list[list[str]]) -> list[np.ndarray]:
@@ -194,16 +243,17 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 [
                     batch.column("id"),
                     batch.column("url"),
+                    batch.column("content"),
                     pa.array([[t for t, s in p if s != DROP or d] for p, d in zip(found, doubt, strict=True)], pa.list_(pa.string())),
                     pa.array([[s for _, s in p if s != DROP or d] for p, d in zip(found, doubt, strict=True)], pa.list_(pa.int32())),
                     pa.array(list(keys), pa.list_(pa.int64())),
                     pa.array(doubt),
                 ],
-                ["id", "url", "texts", "states", "keys", "doubt"],
+                ["id", "url", "content", "texts", "states", "keys", "doubt"],
             )
 
     kind = pages.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, url string, texts array<string>, states array<int>, keys array<bigint>, doubt boolean"
+    schema = f"id {kind}, url string, content bigint, texts array<string>, states array<int>, keys array<bigint>, doubt boolean"
     return pages.mapInArrow(parse, schema)
 
 
@@ -246,29 +296,29 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     Elements that say what they are decide first: scripts, styles, menus, footers, forms
     and the like go, articles and main parts stay. Where a page has neither article nor
     main part, its host decides: the page's tokens outside are suffixes of the host's
-    token stream, and those whose first ``DEPTH`` tokens occur on ``MIN_PAGES`` and
-    ``MIN_RATIO`` of the host's pages mark those tokens as boilerplate. A longer repeat
+    token stream, and those whose first ``DEPTH`` tokens occur on ``MIN_PAGES``
+    different pages of the host mark those tokens as boilerplate. A longer repeat
     is a chain of such heads, so the array needs no deeper order, and grouping heads
     replaces a sort of all suffixes of a host in one task. Unique runs stay.
 
     Null pages and pages without text give an empty text; a null URL is a host of its
-    own; repeated rows count as pages of their own. Columns not named are not read. An
+    own; copies of a page on a host count once and get the same text. Columns not named are not read. An
     empty table gives no rows.
     """
     rows = pages.select(
         F.col(id_column).alias("id"),
         F.col(url_column).cast("string").alias("url"),
         F.col(html_column).cast("string").alias("html"),
+        F.xxhash64(F.col(html_column).cast("string")).alias("content"),
     )
     parsed = _parsed(rows).withColumn("host", F.coalesce(host(F.col("url")), F.lit("")))
     parsed = stored(parsed.withColumn("row", F.monotonically_increasing_id()), "pages")
-    heads = parsed.select("row", "host", F.explode(F.array_distinct("keys")).alias("key"))
-    totals = parsed.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("pages"))
-    shared = heads.groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
-    shared = shared.join(totals, F.col("host") == F.col("of"))
-    shared = shared.where(F.col("n") >= MIN_RATIO * F.col("pages")).select(
-        F.col("host").alias("of"), F.col("key").alias("head")
-    )
+    # Copies of a page are one page: of each content of a host one row is counted.
+    first = parsed.groupBy("host", "content").agg(F.min("row").alias("counted"))
+    once = parsed.join(first.select("counted"), F.col("row") == F.col("counted"), "left_semi")
+    heads = once.select("host", F.explode(F.array_distinct("keys")).alias("key"))
+    shared = heads.groupBy(F.col("host").alias("of"), F.col("key").alias("head")).count()
+    shared = shared.where(F.col("count") >= MIN_PAGES).drop("count")
     in_doubt = parsed.where("doubt").select("row", "host", F.explode(F.array_distinct("keys")).alias("key"))
     marks = in_doubt.join(shared, (F.col("host") == F.col("of")) & (F.col("key") == F.col("head")))
     marks = marks.groupBy(F.col("row").alias("at")).agg(F.collect_set("key").alias("repeated"))
