@@ -1,4 +1,9 @@
-"""Benchmark items found in documents: windows that share enough shingles, verification."""
+"""Benchmark items found in documents: fingerprints of item-sized windows, verification.
+
+A window's fingerprint is the SimHash of its shingles, each with the number of its
+occurrence in the window. Weighted similarity is the plain similarity of such numbered
+shingles, so the distance of two fingerprints follows it even where shingles repeat.
+"""
 
 from __future__ import annotations
 
@@ -15,9 +20,13 @@ from stockflow.llm.rows import without
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# Default of the index by bits. Items are not searched by it: at similarity 0.8 windows are
-# about 10 of 64 bits apart, and no radius short of all bits is sure to keep them.
-RADIUS = 15
+# Bits of a fingerprint. At similarity 0.8 a bit differs with a chance of 0.155 or less, which
+# makes 40 of 256, and over RADIUS with a chance of 3e-14. Unlike texts are 128 apart.
+BITS = 256
+RADIUS = 88
+# Shingles whose bits are unpacked at once, and window and item pairs that are marked at once.
+_CHUNK = 1 << 14
+_CELLS = 1 << 20
 # Bytes of benchmark text that one scan carries; larger benchmarks take several scans.
 BLOCK_BYTES = 16 << 20
 _FACTORS = W.mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
@@ -35,16 +44,64 @@ def shingles(hashed: np.ndarray) -> np.ndarray:
     return W.mix(total + np.uint64(size))
 
 
-def window_prints(values: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """SimHash of the windows of ``size`` shingles at each start."""
-    first, last = int(starts.min()), int(starts.max()) + size
-    part = np.ascontiguousarray(values[first:last]).astype("<u8")
-    bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    sums = np.zeros((len(part) + 1, 64), np.int32)
-    np.cumsum(bits, axis=0, dtype=np.int32, out=sums[1:])
-    at = starts - first
-    ones = (sums[at + size] - sums[at]) * 2 > size
-    return np.packbits(ones, axis=1, bitorder="little").view("<u8")[:, 0]
+def _bits(values: np.ndarray) -> np.ndarray:
+    """The bits of each value's independent words, one row of ``BITS`` for a value."""
+    words = [W.mix(values + np.uint64(k << 60 | k)) for k in range(BITS // 64)]
+    part = np.stack(words, axis=1).astype("<u8")
+    return np.unpackbits(part.view(np.uint8), axis=1, bitorder="little")
+
+
+def _packed(ones: np.ndarray) -> np.ndarray:
+    return np.packbits(ones, axis=1, bitorder="little").view("<u8")
+
+
+def _numbered(rows: np.ndarray) -> np.ndarray:
+    """Each row sorted, its n-th copy of a shingle made a value of its own."""
+    rows = np.sort(rows, axis=1)
+    new = np.ones(rows.shape, bool)
+    new[:, 1:] = rows[:, 1:] != rows[:, :-1]
+    place = np.arange(rows.shape[1])
+    copy = place - np.maximum.accumulate(np.where(new, place, 0), axis=1)
+    return np.where(copy > 0, W.mix(rows + W.mix(copy.astype(np.uint64))), rows)
+
+
+def repeating(values: np.ndarray, length: int) -> np.ndarray:
+    """For each start, whether a window of that many shingles holds one twice."""
+    order = np.argsort(values, kind="stable")
+    same = values[order][1:] == values[order][:-1]
+    before, at = order[:-1][same], order[1:][same]
+    near = at - before < length
+    # Starts from which both places are inside: at - length + 1 to before.
+    edge = np.zeros(len(values) + 1, np.int64)
+    np.add.at(edge, np.maximum(at[near] - length + 1, 0), 1)
+    np.add.at(edge, before[near] + 1, -1)
+    return np.cumsum(edge)[: len(values) - length + 1] > 0
+
+
+def window_prints(values: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Fingerprints of the windows of ``length`` shingles at each start, ascending."""
+    out = np.zeros((len(starts), BITS // 64), np.uint64)
+    twice = repeating(values, length)[starts]
+    plain = np.flatnonzero(~twice)
+    while len(plain):
+        first = starts[plain[0]]
+        here = plain[: np.searchsorted(starts[plain], first + _CHUNK)]
+        sums = np.zeros((starts[here[-1]] - first + length + 1, BITS), np.int32)
+        np.cumsum(_bits(values[first : starts[here[-1]] + length]), axis=0, dtype=np.int32, out=sums[1:])
+        at = starts[here] - first
+        out[here] = _packed((sums[at + length] - sums[at]) * 2 > length)
+        plain = plain[len(here) :]
+    step = max(1, _CHUNK // length)
+    again = np.flatnonzero(twice)
+    for low in range(0, len(again), step):
+        here = again[low : low + step]
+        rows = _numbered(values[starts[here][:, None] + np.arange(length)])
+        counts = np.zeros((len(here), BITS), np.int64)
+        for left in range(0, length, _CHUNK):
+            part = rows[:, left : left + _CHUNK]
+            counts += _bits(part.ravel()).reshape(*part.shape, BITS).sum(1, dtype=np.int64)
+        out[here] = _packed(counts * 2 > length)
+    return out
 
 
 class MultiIndex:
@@ -52,30 +109,32 @@ class MultiIndex:
 
     def __init__(self, values: np.ndarray, radius: int = RADIUS):
         self.values, self.radius = values, radius
-        edges = np.linspace(0, 64, radius + 2).astype(int)
+        bits = np.unpackbits(values.view(np.uint8), axis=1, bitorder="little")
+        self.edges = np.linspace(0, bits.shape[1], radius + 2).astype(int)
         self.blocks = []
-        for low, high in zip(edges, edges[1:], strict=False):
-            key = self._block(values, low, high)
+        for key in self._keys(bits):
             order = np.argsort(key, kind="stable")
-            self.blocks.append((low, high, key[order], order))
-
-    @staticmethod
-    def _block(values, low, high):
-        return (values >> np.uint64(low)) & np.uint64((1 << int(high - low)) - 1)
-
-    def search(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All pairs (query, value) within the radius."""
-        found = []
-        for low, high, keys, order in self.blocks:
-            key = self._block(queries, low, high)
-            left = np.searchsorted(keys, key)
-            count = np.searchsorted(keys, key, "right") - left
-            query = np.repeat(np.arange(len(queries)), count)
-            value = order[W.ragged(left, count)]
-            near = np.bitwise_count(queries[query] ^ self.values[value]) <= self.radius
-            found.append(query[near] * len(self.values) + value[near])
-        pairs = np.unique(np.concatenate(found))
-        return pairs // len(self.values), pairs % len(self.values)
+            self.blocks.append((key[order], order))
+
+    def _keys(self, bits: np.ndarray) -> Iterator[np.ndarray]:
+        for low, high in zip(self.edges, self.edges[1:], strict=False):
+            yield bits[:, low:high] @ (1 << np.arange(high - low))
+
+    def search(self, queries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs (query, value) within the radius, in parts."""
+        step = max(1, _CELLS // len(self.values))
+        for first in range(0, len(queries), step):
+            part = np.ascontiguousarray(queries[first : first + step])
+            seen = np.zeros((len(part), len(self.values)), bool)
+            bits = np.unpackbits(part.view(np.uint8), axis=1, bitorder="little")
+            for key, (keys, order) in zip(self._keys(bits), self.blocks, strict=True):
+                low = np.searchsorted(keys, key)
+                count = np.searchsorted(keys, key, "right") - low
+                seen[np.repeat(np.arange(len(part)), count), order[W.ragged(low, count)]] = True
+            query, value = np.nonzero(seen)
+            apart = np.bitwise_count(part[query] ^ self.values[value]).sum(1, dtype=np.int64)
+            near = apart <= self.radius
+            yield first + query[near], value[near]
 
 
 class Benchmark:
@@ -90,11 +149,10 @@ class Benchmark:
                 sized.setdefault(len(hashed), []).append((key, shingles(hashed)))
         self.sizes = {}
         for size, group in sorted(sized.items()):
-            each = [np.unique(values) for _, values in group]
-            keys = np.concatenate(each)
-            order = np.argsort(keys, kind="stable")
-            items = np.repeat(np.arange(len(group)), [len(values) for values in each])[order]
-            self.sizes[size] = (group, (keys[order], items), np.unique(keys))
+            each = [values for _, values in group]
+            prints = [window_prints(v, np.zeros(1, np.int64), len(v)) for v in each]
+            known = np.unique(np.concatenate(each))
+            self.sizes[size] = (group, MultiIndex(np.concatenate(prints)), known)
         parts = [known for _, _, known in self.sizes.values()]
         self.known = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
         width = max(16, int(len(self.known) * 16).bit_length())
@@ -102,10 +160,6 @@ class Benchmark:
         self.bitmap = np.zeros(1 << width, bool)
         self.bitmap[self.known & self.mask] = True
 
-    def _shared(self, values: np.ndarray, known: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-        return known[at] == values
-
     def touched(self, values: np.ndarray) -> np.ndarray:
         """Positions whose shingle occurs in an item.
 
@@ -114,7 +168,7 @@ class Benchmark:
         maybe = np.flatnonzero(self.bitmap[values & self.mask])
         if not len(maybe):
             return maybe
-        return maybe[self._shared(values[maybe], self.known)]
+        return maybe[_among(values[maybe], self.known)]
 
     def matches(self, hashed: np.ndarray) -> list[tuple[object, float, int, int]]:
         """(item, similarity, first word, words) of each item's best window in a text."""
@@ -130,15 +184,15 @@ class Benchmark:
                 continue
             whole = size - width + 1
             length = min(whole, len(values))
-            # So many shared shingles make the similarity; fewer known ones cannot.
-            need = SIMILARITY * (length + whole) / (1 + SIMILARITY) - 1e-9
-            sums = np.concatenate(([0], np.cumsum(self._shared(values, known))))
-            starts = np.flatnonzero(sums[length:] - sums[: len(sums) - length] >= need)
-            for start in starts.tolist():
-                window = values[start : start + length]
-                for item in _sharing(*index, window, need):
-                    value = similarity(window, group[item][1])
-                    if value >= SIMILARITY:
+            # A window that shares no shingle with an item of this size has similarity zero.
+            sums = np.concatenate(([0], np.cumsum(_among(values, known))))
+            starts = np.flatnonzero(sums[length:] > sums[: len(sums) - length])
+            if not len(starts):
+                continue
+            for query, found in index.search(window_prints(values, starts, length)):
+                for item in np.unique(found).tolist():
+                    near = starts[query[found == item]]
+                    for start, value in verified(values, near, length, group[item][1]):
                         one = (value, -start, min(size, length + width - 1))
                         at = (size, item)
                         best[at] = max(best.get(at, one), one)
@@ -148,12 +202,25 @@ class Benchmark:
         ]
 
 
-def _sharing(keys: np.ndarray, items: np.ndarray, window: np.ndarray, need: float) -> list[int]:
-    """The items that have at least ``need`` of the window's shingles, repeats included."""
-    low = np.searchsorted(keys, window)
-    count = np.searchsorted(keys, window, "right") - low
-    found, times = np.unique(items[W.ragged(low, count)], return_counts=True)
-    return found[times >= need].tolist()
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the sorted ``known``."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def verified(values: np.ndarray, starts: np.ndarray, length: int, item: np.ndarray) -> Iterator[tuple[int, float]]:
+    """(start, similarity) of the windows at the starts that are similar enough to the item.
+
+    A window's shingles that the item has at all bound what they share; only windows
+    whose bound makes the similarity are compared shingle by shingle.
+    """
+    low, high = int(starts[0]), int(starts[-1]) + length
+    sums = np.concatenate(([0], np.cumsum(_among(values[low:high], np.unique(item)))))
+    need = SIMILARITY * (length + len(item)) / (1 + SIMILARITY) - 1e-9
+    enough = sums[starts - low + length] - sums[starts - low] >= need
+    for start in starts[enough].tolist():
+        value = similarity(values[start : start + length], item)
+        if value >= SIMILARITY:
+            yield start, value
 
 
 def _short(hashed: np.ndarray, size: int) -> np.ndarray:

@@ -74,15 +74,57 @@ def test_empty_tables_and_removal(llm, docs):
 
 def test_the_index_finds_all_within_the_radius():
     rng = np.random.default_rng(1)
-    values = rng.integers(0, 1 << 62, 50, dtype=np.uint64)
-    queries = np.concatenate([values ^ np.uint64((1 << k) - 1) for k in (0, 7, 15, 16, 30)])
-    found = set(zip(*(a.tolist() for a in D.MultiIndex(values).search(queries)), strict=True))
-    assert found == {
-        (q, v)
-        for q in range(len(queries))
-        for v in range(len(values))
-        if int(queries[q] ^ values[v]).bit_count() <= D.RADIUS
+    values = rng.integers(0, 1 << 63, (50, 4), dtype=np.uint64)
+    queries = []
+    for flips in (0, 7, 60, 88, 89, 120):
+        bits = np.unpackbits(values.view(np.uint8), axis=1)
+        for row in bits:
+            row[rng.choice(256, flips, replace=False)] ^= 1
+        queries.append(np.packbits(bits, axis=1).view(np.uint64))
+    queries = np.concatenate(queries)
+    found = {
+        pair
+        for part in D.MultiIndex(values).search(queries)
+        for pair in zip(*(a.tolist() for a in part), strict=True)
     }
+    apart = np.bitwise_count(queries[:, None] ^ values[None]).sum(2)
+    assert found == set(zip(*(a.tolist() for a in np.nonzero(apart <= D.RADIUS)), strict=True))
+    assert len(found) >= 200
+
+
+def test_window_prints_match_numbered_shingles(monkeypatch):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.integers(0, 1 << 62, 60), rng.integers(0, 5, 40), np.zeros(30)]).astype(np.uint64)
+    for chunk, length in ((1 << 14, 7), (16, 30), (8, 1), (1 << 14, 130)):
+        monkeypatch.setattr(D, "_CHUNK", chunk)
+        starts = np.arange(len(values) - length + 1)
+        got = D.window_prints(values, starts, length)
+        for start in starts.tolist():
+            window = values[start : start + length]
+            assert D.repeating(values, length)[start] == (len(np.unique(window)) < length)
+            ones = D._bits(D._numbered(window[None])[0]).sum(0) * 2 > length
+            assert (got[start] == D._packed(ones[None])[0]).all()
+
+
+def test_windows_at_the_threshold_are_within_the_radius():
+    # Swapped shingles, texts shorter than the item, and repeats that outweigh the rest.
+    rng = np.random.default_rng(6)
+    fresh = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    for n in (9, 18, 45, 200):
+        for kind in range(4):
+            for _ in range(60):
+                item, swap = fresh(n), n // 9
+                window = item.copy()
+                window[:swap] = fresh(swap)
+                if kind == 1:
+                    window = item[: -(-4 * n // 5)]
+                elif kind == 2:
+                    item[:swap], window[:swap] = item[0], window[0]
+                elif kind == 3:
+                    item[swap:] = window[swap:] = item[-1]
+                assert D.similarity(window, item) >= 0.8
+                a, b = (D.window_prints(v, np.zeros(1, np.int64), len(v)) for v in (item, window))
+                assert np.bitwise_count(a ^ b).sum() <= D.RADIUS
 
 
 def test_one_changed_word_in_the_middle_is_found(llm, docs):
