@@ -27,6 +27,8 @@ SLICE = 8192
 # Searches of a tree that are followed at once, which bounds memory.
 FRONTIER = 1 << 20
 _CHUNK = 1 << 16
+# Rows of whole shards that a task holds at once.
+_HELD = 1 << 18
 
 
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
@@ -101,6 +103,37 @@ def masks(radius: int, agree: int = 1) -> list[int]:
     return [sum(choice) for choice in combinations(blocks, agree)]
 
 
+def agreeing(count: int, radius: int) -> int:
+    """How many blocks must agree so that so many fingerprints make shards of one tree.
+
+    More blocks mean more copies of each row, but a number of copies that the data cannot
+    raise by filling shards: a shard of c trees repeats each row c times.
+    """
+    agree = 1
+    while count >> min(mask.bit_count() for mask in masks(radius, agree)) > SLICE:
+        agree += 1
+    return agree
+
+
+def _whole_shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that are sorted by shard, in tables that cut no shard."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size >= _HELD:
+            table = pa.Table.from_batches(held)
+            shard = table["shard"].to_numpy()
+            cut = int(np.searchsorted(shard, shard[-1]))
+            if cut:
+                yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+            size -= cut
+    if size:
+        yield pa.Table.from_batches(held)
+
+
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -215,37 +248,32 @@ def links(vertices: DataFrame, radius: int, agree: int = 1, wide_radius: int = 0
     """Edges (a, b) that connect all vertices (vertex, fp, wide) within the radius.
 
     With ``wide_radius`` a link also needs that many or fewer differing bits in the
-    independent words.
+    independent words. A task reads its shards one run after the other.
     """
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [batch for batch in batches if len(batch)]
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts)
-        shard = table["shard"].to_numpy()
-        order = np.argsort(shard, kind="stable")
-        vertex = table["vertex"].to_numpy()[order]
-        values = table["fp"].to_numpy().view(np.uint64)[order]
-        wide = None
-        if wide_radius:
-            flat = table["wide"].combine_chunks().flatten().to_numpy()
-            wide = flat.view(np.uint64).reshape(len(table), -1)[order]
-        label = forest_links(values, shard[order], radius, wide, wide_radius)
-        moved = label != np.arange(len(label))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(vertex[moved]), pa.array(vertex[label[moved]])], ["a", "b"]
-        )
+        for table in _whole_shards(batches):
+            vertex = table["vertex"].to_numpy()
+            values = table["fp"].to_numpy().view(np.uint64)
+            wide = None
+            if wide_radius:
+                flat = table["wide"].combine_chunks().flatten().to_numpy()
+                wide = flat.view(np.uint64).reshape(len(table), -1)
+            label = forest_links(values, table["shard"].to_numpy(), radius, wide, wide_radius)
+            moved = label != np.arange(len(label))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(vertex[moved]), pa.array(vertex[label[moved]])], ["a", "b"]
+            )
 
     rows = _shards(vertices, radius, agree)
     if not wide_radius:
         rows = rows.drop("wide")
-    rows = rows.repartition("shard")
+    rows = rows.repartition("shard").sortWithinPartitions("shard")
     return rows.mapInArrow(search, "a bigint, b bigint")
 
 
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                    shingle: int = 4, radius: int = 4, agree: int = 1,
+                    shingle: int = 4, radius: int = 4, agree: int | None = None,
                     more: int = 0, wide_radius: int = 0) -> DataFrame:
     """(id, fp, component): each document's fingerprint and its group.
 
@@ -254,7 +282,8 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     smallest id. Copies share a fingerprint and are searched once. Null and empty texts
     have fingerprint zero and link like others. Rows with a null id are members, but
     name a group only if all of it is null. Repeated rows stay. Other columns are not
-    read, so their names cannot clash. An empty table gives no rows.
+    read, so their names cannot clash. An empty table gives no rows. ``agree`` grows with
+    the number of distinct fingerprints unless it is given; it changes no result.
     """
     prints = stored(fingerprints(documents, id_column, text_column, shingle, more), "fingerprints")
     vertex = F.xxhash64("fp", "wide") if more else F.col("fp")
@@ -263,6 +292,7 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
         F.min("id").alias("least"), F.first("fp").alias("fp"), F.first("wide").alias("wide")
     )
     vertices = stored(vertices, "vertices")
+    agree = agree or agreeing(vertices.count(), radius)
     return named(prints, vertices, components(links(vertices, radius, agree, wide_radius))).select(
         "id", "fp", "component"
     )

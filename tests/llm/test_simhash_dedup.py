@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stockflow.llm import simhash_dedup as S
@@ -85,6 +86,23 @@ def test_a_shard_beyond_one_tree_keeps_its_links(llm, monkeypatch):
     assert len(set(reached.values())) == 1 and len(reached) == 398
 
 
+def test_blocks_that_agree_grow_with_the_data_and_change_nothing(llm, monkeypatch):
+    assert [S.agreeing(10**k, 4) for k in (0, 4, 7, 9, 11)] == [1, 1, 1, 2, 3]
+    table = llm.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    one = sorted(map(tuple, S.near_duplicates(table).collect()))
+    monkeypatch.setattr(S, "_HELD", 8)
+    assert sorted(map(tuple, S.near_duplicates(table, agree=2).collect())) == one
+
+
+def test_tables_cut_no_shard(monkeypatch):
+    monkeypatch.setattr(S, "_HELD", 4)
+    shards = [1, 1, 2, 2, 2, 2, 2, 2, 2, 3, 4, 5, 5]
+    batches = [pa.record_batch({"shard": shards[k : k + 3]}) for k in range(0, len(shards), 3)]
+    parts = [table["shard"].to_pylist() for table in S._whole_shards([pa.record_batch({"shard": pa.array([], pa.int64())}), *batches])]
+    assert sum(parts, []) == shards
+    assert all(a[-1] != b[0] for a, b in zip(parts, parts[1:], strict=False)) and len(parts) > 2
+
+
 def test_components_match_brute_force(llm):
     rng = np.random.default_rng(3)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 120, (90, 2))]
