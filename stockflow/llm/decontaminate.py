@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm import words as W
-from stockflow.llm.rows import without
+from stockflow.llm.rows import fresh, row_key, without
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -326,6 +326,12 @@ def _documents(index: Benchmark, values: list[bytes]) -> Iterator[tuple[int, lis
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
                text_column: str = "text") -> DataFrame:
-    """The documents without any leak, columns unchanged; rows with a null id stay."""
-    lost = leaks(documents, benchmark, id_column, text_column)
-    return without(documents, id_column, lost.select("id"))
+    """The documents without any leak, columns unchanged.
+
+    Leaking rows leave by an anti join on a digest of id and text, so a clean row stays
+    even if it shares its id with a leaking one; a null id protects none.
+    """
+    name = fresh(documents, "row_key")
+    keyed = documents.withColumn(name, row_key(id_column, text_column))
+    lost = leaks(keyed, benchmark, name, text_column)
+    return without(documents, [id_column, text_column], lost.select("id"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.rows import without
+from stockflow.llm.rows import fresh, row_key, without
 from stockflow.llm.words import BLANK
 from stockflow.storage import stored
 
@@ -153,15 +153,18 @@ def judged(documents: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 def keep_good(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text",
               host_column: str = "source") -> DataFrame:
-    """The documents that are kept, columns unchanged, in one pass over their texts.
+    """The documents that are kept, columns unchanged.
 
-    Rejected ids leave by an anti join; rows with a null id are judged by the base rules
-    alone, as no verdict can be joined to them. If rows share an id, one rejected row
-    takes all of them along.
+    Rejected rows leave by an anti join on a digest of id, text and host, on which the
+    verdict depends, so rows that share an id are judged each. Rows with a null id are
+    judged by the base rules alone.
     """
-    lost = judged(documents, id_column, text_column, host_column).where(~F.col("kept"))
+    columns = [id_column, text_column, host_column]
+    name = fresh(documents, "row_key")
+    keyed = documents.withColumn(name, row_key(*columns))
+    lost = judged(keyed, name, text_column, host_column).where(~F.col("kept"))
     named = F.col(id_column).isNotNull()
-    kept = without(documents.where(named), id_column, lost.select("id"))
+    kept = without(documents.where(named), columns, lost.select("id"))
     alone = measures(F.col(text_column))
     good = (alone["n_words"] >= MIN_WORDS) & (
         100 * alone["n_repeat_words"] <= MAX_REPEAT_PERCENT * alone["n_words"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,8 +14,13 @@ def fresh(rows: DataFrame, name: str) -> str:
     return name
 
 
-def without(rows: DataFrame, id_column: str, lost: DataFrame) -> DataFrame:
-    """The rows whose id is not among those of ``lost`` (one column); null ids stay."""
-    name = fresh(rows, "lost_id")
-    lost = lost.toDF(name).distinct()
-    return rows.join(lost, F.col(id_column) == F.col(name), "left_anti")
+def row_key(*columns: str) -> Column:
+    """A digest of some columns' values as text; null is a value of its own."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    return F.unhex(F.sha2(F.concat(*[F.sha2(part(c), 256) for c in columns]), 256))
+
+
+def without(rows: DataFrame, columns: list[str], lost: DataFrame) -> DataFrame:
+    """The rows whose ``row_key`` of the columns is not among those of ``lost`` (one column)."""
+    name = fresh(rows, "lost_key")
+    return rows.join(lost.toDF(name).distinct(), row_key(*columns) == F.col(name), "left_anti")

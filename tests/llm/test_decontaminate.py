@@ -72,6 +72,15 @@ def test_empty_tables_and_removal(llm, docs):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "None"]
 
 
+def test_only_the_leaking_rows_of_an_id_go(llm, docs):
+    leak = " ".join(f"w{j}" for j in range(20))
+    table = docs([(1, leak), (1, "clean of the same id"), (None, leak), (None, "clean"), (3, None), (4, leak.upper())])
+    kept = D.keep_clean(table, llm.createDataFrame([(1, leak)], "item_id bigint, text string"))
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect()) == [
+        ("1", "clean of the same id"), ("3", ""), ("None", "clean"),
+    ]
+
+
 def test_the_index_finds_all_within_the_radius():
     rng = np.random.default_rng(1)
     values = rng.integers(0, 1 << 63, (50, 4), dtype=np.uint64)

@@ -64,3 +64,10 @@ def test_empty_tables(docs):
 def test_rows_without_an_id_are_judged_alone(docs):
     good = " ".join(f"w{k}" for k in range(80))
     assert [r["text"] for r in H.keep_good(docs([(None, good, "a"), (None, "short", "a"), (None, None, "a")])).collect()] == [good]
+
+
+def test_rows_of_one_id_are_judged_each(docs):
+    good = " ".join(f"w{k}" for k in range(80))
+    rows = [(7, good, "a"), (7, "short", "a"), (7, None, "a"), (8, good, None), (9, good, "a"), (9, good, "a"), (9, good + " more", "a")]
+    kept = H.keep_good(docs(rows)).collect()
+    assert sorted((r["doc_id"], len(r["text"].split())) for r in kept) == [(7, 80), (8, 80), (9, 80), (9, 80), (9, 81)]
