@@ -40,7 +40,7 @@ def put(*arrays: np.ndarray) -> bytes:
     head, body = [], []
     for array in arrays:
         head.append(f"{array.dtype.str}:{len(array)}")
-        body.append(np.ascontiguousarray(array.view(np.uint8).reshape(len(array), -1).T).tobytes())
+        body.append(np.ascontiguousarray(array.view(np.uint8).reshape(len(array), array.itemsize).T).tobytes())
     text = ",".join(head).encode()
     return zstandard.ZstdCompressor(3).compress(len(text).to_bytes(4, "little") + text + b"".join(body))
 
@@ -218,8 +218,12 @@ class Model:
 # --- pairs --------------------------------------------------------------------
 
 
-def _pairs(model: Model):
-    """The function of a block: its documents' sums, and its word pairs by trie."""
+def _pairs(model: Model, folder: str):
+    """The function of a block: its documents' sums, and its word pairs by trie.
+
+    A pair goes to its trie once a block, however often the block has it. Which pair each
+    token makes stays in a file of the block, so that no pair is hot.
+    """
 
     def pairs(codes_row: pa.Table, numbered: pa.Table) -> pa.Table:
         codes, lengths, held = get(codes_row["body"][0].as_py())
@@ -237,16 +241,17 @@ def _pairs(model: Model):
         context[first], seen[first] = ids[first + lengths - 1], ends
         alone = seen == 0
         rest = np.bincount(doc, np.where(alone, base, 0.0), len(lengths))
+        live = np.flatnonzero(~alone)
         documents = put(
             held,
             lengths.astype(np.uint32),
             np.bincount(doc[count > 0], minlength=len(lengths)).astype(np.uint32),
             np.bincount(doc, base, len(lengths)),
             rest,
+            np.bincount(doc[live], minlength=len(lengths)).astype(np.uint32),
         )
         name = codes_row["block"][0].as_py()
         rows = [{"shard": -1, "block": name, "ids": codes_row["ids"][0].as_py(), "body": documents}]
-        live = np.flatnonzero(~alone)
         node = model.nodes(context[live], model.cuts(seen[live]), ids[live])
         shard = (W.mix(node) % np.uint64(model.tries)).astype(np.int64)
         order = np.lexsort((ids[live], node, shard))
@@ -254,21 +259,20 @@ def _pairs(model: Model):
         word, owner = ids[live], doc[live]
         fresh = np.r_[True, (node[1:] != node[:-1]) | (word[1:] != word[:-1])][: len(live)]
         start = np.flatnonzero(fresh)
-        times = np.diff(np.r_[start, len(live)])
+        place = np.empty(len(live), np.uint32)
+        place[order] = np.cumsum(fresh) - 1
+        _write(folder, _block_file(name), put(place))
         train = np.add.reduceat((held[owner] == 0).astype(np.int64), start) if len(start) else start
         code = np.minimum(np.round(-base[live[start]] * STEP), 65535).astype(np.uint16)
         cuts = np.searchsorted(shard[start], np.arange(model.tries + 1))
         for s in np.flatnonzero(np.diff(cuts)).tolist():
             low, high = cuts[s], cuts[s + 1]
-            docs = owner[start[low] : start[high] if high < len(start) else len(live)]
             body = put(
                 _deltas(node[start[low:high]]),
                 word[start[low:high]],
                 train[low:high].astype(np.uint32),
                 code[low:high],
                 seen[live[start[low:high]]].astype(np.uint64),
-                times[low:high].astype(np.uint32),
-                docs.astype(np.uint32),
             )
             rows.append({"shard": s, "block": name, "ids": None, "body": body})
         schema = pa.schema(
@@ -326,14 +330,23 @@ def scored(trie: Trie, node: np.ndarray, word: np.ndarray, code: np.ndarray,
     return out
 
 
-def _mapped(folder: str, name: str, data: bytes) -> np.ndarray:
-    """Write a trie to the model's folder and map it from there."""
+def _block_file(name: int) -> str:
+    return f"block-{name}.pairs"
+
+
+def _write(folder: str, name: str, data: bytes) -> None:
+    """Write a file whole; a repeated task puts the same bytes in its place."""
     system, root = file_system(folder)
     system.create_dir(root, recursive=True)
     path = f"{root}/{name}.{TaskContext.get().taskAttemptId()}"
     with system.open_output_stream(path, compression=None) as out:
         out.write(data)
     system.move(path, f"{root}/{name}")
+
+
+def _mapped(folder: str, name: str) -> np.ndarray:
+    """A trie of the model's folder, mapped."""
+    system, root = file_system(folder)
     if system.type_name == "local":
         return np.memmap(f"{root}/{name}", np.uint64, "r")
     with system.open_input_file(f"{root}/{name}") as file:
@@ -346,21 +359,23 @@ def _tries(model: Model, folder: str, schema: pa.Schema):
     def tries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, table in _groups(batches, "shard"):
             if shard < 0:
-                yield from table.select(["block", "ids", "body"]).cast(schema).to_batches()
+                yield from table.select(schema.names).cast(schema).to_batches()
                 continue
             blobs = [get(body) for body in table["body"].to_pylist()]
             node = np.concatenate([np.cumsum(b[0]) for b in blobs])
             word, train, code, seen = (np.concatenate([b[k] for b in blobs]) for k in (1, 2, 3, 4))
             built = trie_of(node, word, train, code, seen, model)
-            trie = Trie.load(_mapped(folder, f"level-{shard:06d}.trie", built.to_bytes()))
+            name = f"level-{shard:06d}.trie"
+            _write(folder, name, built.to_bytes())
+            trie = Trie.load(_mapped(folder, name))
             value = scored(trie, node, word, code, seen.astype(np.float64), model)
-            low = 0
-            for name, blob in zip(table["block"].to_pylist(), blobs, strict=True):
-                part = np.repeat(value[low : low + len(blob[0])], blob[5])
-                docs, at = np.unique(blob[6], return_inverse=True)
-                body = put(docs, np.bincount(at, part, len(docs)))
-                low += len(blob[0])
-                yield pa.RecordBatch.from_pylist([{"block": name, "ids": None, "body": body}], schema=schema)
+            ends = np.cumsum([len(blob[0]) for blob in blobs])[:-1]
+            parts = [put(part) for part in np.split(value.astype(np.float32), ends)]
+            yield from pa.Table.from_arrays(
+                [table["shard"], table["block"], pa.nulls(len(table), schema.field("ids").type),
+                 pa.array(parts, pa.binary())],
+                schema=schema,
+            ).to_batches()
 
     return tries
 
@@ -376,10 +391,10 @@ def score(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
     scored each. Without training texts all words are unknown and scores are 0. Columns
     not named are not read. An empty table gives no rows.
 
-    The tries stay in ``folder`` (a new one in the shared folder by default). Every
-    shuffled key is a pair (block, slice) or (block, trie), so no word or pair is hot;
-    a frequent context is cut by following word into several tries. Slices and tries
-    grow in number with the input, not in size.
+    The tries stay in ``folder`` (a new one in the shared folder by default). A word or
+    pair is sent once for each block that has it, not once an occurrence, and its score
+    comes back once a block; a frequent context is cut by following word into several
+    tries. Slices and tries grow in number with the input, not in size.
     """
     spark = documents.sparkSession
     kind = documents.schema[id_column].dataType.simpleString()
@@ -417,25 +432,29 @@ def score(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
     pairs = codes.groupBy("block").cogroup(
         numbered.where("block >= 0").select("block", "shard", "body").groupBy("block")
     )
-    pairs = pairs.applyInArrow(_pairs(model), f"shard int, block bigint, ids array<{kind}>, body binary")
+    tokens = work_path(spark, "tokens")
+    pairs = pairs.applyInArrow(_pairs(model, tokens), f"shard int, block bigint, ids array<{kind}>, body binary")
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    out = pa.schema([("block", pa.int64()), ("ids", pa.list_(id_type)), ("body", pa.binary())])
+    out = pa.schema(
+        [("shard", pa.int32()), ("block", pa.int64()), ("ids", pa.list_(id_type)), ("body", pa.binary())]
+    )
     sorted_pairs = pairs.repartition("shard", F.when(F.col("shard") < 0, F.col("block"))).sortWithinPartitions("shard")
-    parts = sorted_pairs.mapInArrow(_tries(model, folder, out), f"block bigint, ids array<{kind}>, body binary")
+    parts = sorted_pairs.mapInArrow(_tries(model, folder, out), f"shard int, block bigint, ids array<{kind}>, body binary")
 
     def summed(table: pa.Table) -> pa.Table:
-        names = table["ids"].to_pylist()
-        main = next(at for at, name in enumerate(names) if name is not None)
-        bodies = table["body"].to_pylist()
-        held, lengths, known, base, total = get(bodies[main])
-        total = total.copy()
-        for at, body in enumerate(bodies):
-            if at != main:
-                docs, sums = get(body)
-                total[docs] += sums
+        table = table.sort_by("shard")
+        names, bodies = table["ids"][0].as_py(), table["body"].to_pylist()
+        held, lengths, known, base, total, live = get(bodies[0])
+        system, root = file_system(tokens)
+        with system.open_input_file(f"{root}/{_block_file(table['block'][0].as_py())}") as file:
+            (place,) = get(file.read())
+        # Pairs are numbered in the order of their tries.
+        value = np.concatenate([np.empty(0, np.float32), *(get(body)[0] for body in bodies[1:])])
+        doc = np.repeat(np.arange(len(live)), live.astype(np.int64))
+        total = total + np.bincount(doc, value[place].astype(np.float64), len(live))
         return pa.table(
             {
-                "id": pa.array(names[main], id_type),
+                "id": pa.array(names, id_type),
                 "held_out": pa.array(held.astype(bool)),
                 "n_tokens": pa.array(lengths.astype(np.int64)),
                 "n_known": pa.array(known.astype(np.int64)),
