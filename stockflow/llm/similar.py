@@ -41,6 +41,8 @@ HUB_LINKS = 4096
 _CELLS = 1 << 22
 _FOUND = 1 << 20
 _CLASSES = 256
+# Words of 64 bits in the parity sketch of a text's shingles.
+_ODD = ("odd0", "odd1")
 
 
 def shingle_set(text: bytes) -> np.ndarray:
@@ -132,8 +134,18 @@ def _least_shared(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return SIMILARITY * (left + right) / (1 + SIMILARITY) - 1e-9
 
 
+def _odd(values: np.ndarray) -> np.ndarray:
+    """For each of 128 classes of shingles, whether their number is odd.
+
+    Two sketches differ in no more bits than the sets in shingles, whatever the sizes.
+    """
+    kind = ((values >> np.uint64(20)) & np.uint64(64 * len(_ODD) - 1)).astype(np.int64)
+    bits = np.bincount(kind, minlength=64 * len(_ODD)) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(vertex, n, shingles, slices): the shingles one of which similar texts share.
+    """(vertex, n, odd0, odd1, shingles, slices): the shingles one of which similar texts share.
 
     Of n shingles in a fixed order, the first n - ceil(0.8 n) + 1: two texts that share
     none of these share less than 0.8 of the larger one. ``slices`` has for each how many
@@ -144,7 +156,7 @@ def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Data
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (keys, times), seen = shared.value, set()
         for batch in batches:
-            vertices, sizes, early, cuts = [], [], [], []
+            vertices, sizes, odd, early, cuts = [], [], [], [], []
             for text in W.texts(batch.column(0)):
                 values = shingle_set(text)
                 vertex = _vertex(values)
@@ -159,6 +171,7 @@ def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Data
                 order = np.lexsort((values, often))[:size]
                 vertices.append(vertex)
                 sizes.append(len(values))
+                odd.append(_odd(values))
                 early.append(values[order].view(np.int64))
                 cuts.append(-(-often[order] // SLICE_ROWS))
             ends = np.cumsum([0, *map(len, early)]).astype(np.int32)
@@ -166,6 +179,7 @@ def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Data
                 [
                     pa.array(vertices, pa.int64()),
                     pa.array(sizes, pa.int32()),
+                    *map(pa.array, np.array(odd, np.int64).reshape(-1, len(_ODD)).T),
                     *(
                         pa.ListArray.from_arrays(
                             pa.array(ends), pa.array(np.concatenate([np.empty(0, kind), *parts]).astype(kind))
@@ -173,11 +187,12 @@ def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Data
                         for parts, kind in ((early, np.int64), (cuts, np.int32))
                     ),
                 ],
-                ["vertex", "n", "shingles", "slices"],
+                ["vertex", "n", *_ODD, "shingles", "slices"],
             )
 
     return texts.mapInArrow(
-        compute, "vertex bigint, n int, shingles array<bigint>, slices array<int>"
+        compute,
+        "vertex bigint, n int, odd0 bigint, odd1 bigint, shingles array<bigint>, slices array<int>",
     )
 
 
@@ -191,10 +206,10 @@ def _buckets(prefixes: DataFrame, groups: DataFrame, every: bool) -> DataFrame:
     rows = (
         prefixes.join(groups.toDF("vertex", "group"), "vertex", "left")
         .select(
-            "vertex", "n", F.coalesce("group", "vertex").alias("group"),
+            "vertex", "n", *_ODD, F.coalesce("group", "vertex").alias("group"),
             F.posexplode(F.arrays_zip("shingles", "slices")).alias("place", "one"),
         )
-        .select("one.shingles", "vertex", "n", "place", "group", "one.slices")
+        .select("one.shingles", "vertex", "n", *_ODD, "place", "group", "one.slices")
         .withColumnRenamed("shingles", "shingle")
     )
     if not every:
@@ -203,24 +218,27 @@ def _buckets(prefixes: DataFrame, groups: DataFrame, every: bool) -> DataFrame:
     own = F.pmod(F.xxhash64("vertex"), F.col("slices")).cast("int")
     others = F.sequence(F.lit(0), F.col("slices") - 1) if every else F.array(own)
     rows = rows.select("*", own.alias("slice"), F.explode(others).alias("other"))
-    columns = ["shingle", "vertex", "n", "place", "group", "slice"]
+    columns = ["shingle", "vertex", "n", *_ODD, "place", "group", "slice"]
     least, most = F.least("slice", "other"), F.greatest("slice", "other")
     rows = rows.select(*columns, (least * F.col("slices") + most).alias("cell"))
     return rows.repartition("shingle", "cell")
 
 
 def _sharing(every: bool):
-    """Pairs (a, b) of unlike groups that share a shingle early enough to be similar."""
+    """Pairs (a, b) of unlike groups that share a shingle early enough to be similar.
+
+    Pairs whose sketches differ in more bits than similar sets in shingles are no pairs.
+    """
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [batch for batch in batches if len(batch)]
         if not parts:
             return
         table = pa.Table.from_batches(parts)
-        names = ("shingle", "cell", "vertex", "n", "place", "group", "slice")
+        names = ("shingle", "cell", "vertex", "n", "place", "group", "slice", *_ODD)
         rows = {name: table[name].to_numpy() for name in names}
         order = np.lexsort((rows["vertex"], rows["n"], rows["cell"], rows["shingle"]))
-        key, cell, vertex, size, place, group, slice_ = (rows[name][order] for name in names)
+        key, cell, vertex, size, place, group, slice_, *odd = (rows[name][order] for name in names)
         # A cell of two slices holds the pairs between them, one of a slice those inside.
         new = np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]
         first = np.flatnonzero(new)
@@ -237,7 +255,10 @@ def _sharing(every: bool):
             most = np.minimum(size[at] - place[at], size[other] - place[other])
             fits = (most >= _least_shared(size[at], size[other])) & (group[at] != group[other])
             fits &= ~mixed[bucket[at]] | (slice_[at] != slice_[other])
-            a, b = vertex[at[fits]], vertex[other[fits]]
+            x, y = at[fits], other[fits]
+            apart = sum(np.bitwise_count((w[x] ^ w[y]).view(np.uint64)).astype(np.int64) for w in odd)
+            same = apart <= size[x] + size[y] - 2 * _least_shared(size[x], size[y])
+            a, b = vertex[x[same]], vertex[y[same]]
             found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
             held += len(a)
             if held > _FOUND:

@@ -116,3 +116,14 @@ def test_a_large_group_of_copies_makes_few_pairs(llm):
         found = S.similar_groups(table).collect()
     assert {r["component"] for r in found} == {0}
     assert sum(pairs) < 30 * len(rows)
+
+
+def test_sketches_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 60, 400, 3000):
+        for change in (0, 1, 7, size // 4, size):
+            left = rng.integers(0, 2**64, size, dtype=np.uint64)
+            right = np.unique(np.r_[left[change:], rng.integers(0, 2**64, change // 2, dtype=np.uint64)])
+            bits = np.bitwise_count((S._odd(np.unique(left)) ^ S._odd(right)).view(np.uint64)).sum()
+            assert bits <= len(np.setxor1d(left, right))
+    assert bits > 20
