@@ -370,7 +370,7 @@ def _tries(model: Model, folder: str, schema: pa.Schema):
             trie = Trie.load(_mapped(folder, name))
             value = scored(trie, node, word, code, seen.astype(np.float64), model)
             ends = np.cumsum([len(blob[0]) for blob in blobs])[:-1]
-            parts = [put(part) for part in np.split(value.astype(np.float32), ends)]
+            parts = [put(part) for part in np.split(np.round(value * -STEP).astype(np.uint32), ends)]
             yield from pa.Table.from_arrays(
                 [table["shard"], table["block"], pa.nulls(len(table), schema.field("ids").type),
                  pa.array(parts, pa.binary())],
@@ -393,7 +393,7 @@ def score(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
     The tries stay in ``folder`` (a new one in the shared folder by default). A word or
     pair is sent once for each block that has it, not once an occurrence, and its score
-    comes back once a block; a frequent context is cut by following word into several
+    comes back once a block, in steps of 1 / ``STEP``; a frequent context is cut by following word into several
     tries. Slices and tries grow in number with the input, not in size.
     """
     spark = documents.sparkSession
@@ -449,9 +449,9 @@ def score(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
         with system.open_input_file(f"{root}/{_block_file(table['block'][0].as_py())}") as file:
             (place,) = get(file.read())
         # Pairs are numbered in the order of their tries.
-        value = np.concatenate([np.empty(0, np.float32), *(get(body)[0] for body in bodies[1:])])
+        value = np.concatenate([np.empty(0, np.uint32), *(get(body)[0] for body in bodies[1:])]) / -STEP
         doc = np.repeat(np.arange(len(live)), live.astype(np.int64))
-        total = total + np.bincount(doc, value[place].astype(np.float64), len(live))
+        total = total + np.bincount(doc, value[place], len(live))
         return pa.table(
             {
                 "id": pa.array(names, id_type),
