@@ -38,6 +38,8 @@ FREQUENT_ROWS = 8
 SLICE_ROWS = 4096
 # Links of one text that a task checks together.
 HUB_LINKS = 4096
+# Rows of cells that a task holds together, if a cell has no more.
+RUN_ROWS = 1 << 17
 _CELLS = 1 << 22
 _FOUND = 1 << 20
 _CLASSES = 256
@@ -221,7 +223,28 @@ def _buckets(prefixes: DataFrame, groups: DataFrame, every: bool) -> DataFrame:
     columns = ["shingle", "vertex", "n", *_ODD, "place", "group", "slice"]
     least, most = F.least("slice", "other"), F.greatest("slice", "other")
     rows = rows.select(*columns, (least * F.col("slices") + most).alias("cell"))
-    return rows.repartition("shingle", "cell")
+    return rows.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell")
+
+
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sorted rows in whole cells, about ``RUN_ROWS`` at a time."""
+    held: list[pa.RecordBatch] = []
+    rows, most = 0, RUN_ROWS
+    for batch in batches:
+        held.append(batch)
+        rows += len(batch)
+        if rows < most:
+            continue
+        table = pa.Table.from_batches(held)
+        shingle, cell = table["shingle"].to_numpy(), table["cell"].to_numpy()
+        other = np.flatnonzero((shingle != shingle[-1]) | (cell != cell[-1]))
+        low = other[-1] + 1 if len(other) else 0
+        if low:
+            yield table.slice(0, low)
+        held, rows = table.slice(low).to_batches(), rows - low
+        most = max(RUN_ROWS, 2 * rows)
+    if rows:
+        yield pa.Table.from_batches(held)
 
 
 def _sharing(every: bool):
@@ -231,10 +254,10 @@ def _sharing(every: bool):
     """
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [batch for batch in batches if len(batch)]
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts)
+        for table in _runs(batches):
+            yield from within(table)
+
+    def within(table: pa.Table) -> Iterator[pa.RecordBatch]:
         names = ("shingle", "cell", "vertex", "n", "place", "group", "slice", *_ODD)
         rows = {name: table[name].to_numpy() for name in names}
         order = np.lexsort((rows["vertex"], rows["n"], rows["cell"], rows["shingle"]))

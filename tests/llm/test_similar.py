@@ -88,6 +88,7 @@ def test_rows_are_told_apart_by_id_and_text(docs):
 @pytest.mark.parametrize("slice_rows", [4, 4096])
 def test_hot_shingles_are_cut_without_losing_a_link(llm, monkeypatch, slice_rows):
     monkeypatch.setattr(S, "SLICE_ROWS", slice_rows)
+    monkeypatch.setattr(S, "RUN_ROWS", slice_rows // 4)
     monkeypatch.setattr(S, "FREQUENT_ROWS", 2)
     rng = np.random.default_rng(4)
     shared = [f"s{k}" for k in range(60)]
