@@ -161,9 +161,11 @@ def _numbered(dictionaries: DataFrame, slices: int) -> DataFrame:
         for part, table in _groups(batches, "shard"):
             blobs = [get(body) for body in table["body"].to_pylist()]
             sizes = np.array([len(b[0]) for b in blobs])
-            known, at = np.unique(np.concatenate([np.cumsum(b[0]) for b in blobs]), return_inverse=True)
-            count = np.zeros(len(known), np.int64)
-            np.add.at(count, at, np.concatenate([b[1] for b in blobs]).astype(np.int64))
+            words, times = (np.concatenate(column) for column in zip(*((np.cumsum(b[0]), b[1]) for b in blobs), strict=True))
+            del blobs
+            known, at = np.unique(words, return_inverse=True)
+            del words
+            count = np.bincount(at, times, len(known)).astype(np.int64)
             ids = np.zeros(len(known), np.uint64)
             order = np.argsort(-count, kind="stable")[: int((count > 0).sum())]
             ids[order] = np.arange(len(order), dtype=np.uint64) * np.uint64(slices) + np.uint64(part + 1)
@@ -364,12 +366,12 @@ def _tries(model: Model, folder: str, schema: pa.Schema):
             blobs = [get(body) for body in table["body"].to_pylist()]
             node = np.concatenate([np.cumsum(b[0]) for b in blobs])
             word, train, code, seen = (np.concatenate([b[k] for b in blobs]) for k in (1, 2, 3, 4))
-            built = trie_of(node, word, train, code, seen, model)
+            ends = np.cumsum([len(b[0]) for b in blobs])[:-1]
+            del blobs
             name = f"level-{shard:06d}.trie"
-            _write(folder, name, built.to_bytes())
+            _write(folder, name, trie_of(node, word, train, code, seen, model).to_bytes())
             trie = Trie.load(_mapped(folder, name))
             value = scored(trie, node, word, code, seen.astype(np.float64), model)
-            ends = np.cumsum([len(blob[0]) for blob in blobs])[:-1]
             parts = [put(part) for part in np.split(np.round(value * -STEP).astype(np.uint32), ends)]
             yield from pa.Table.from_arrays(
                 [table["shard"], table["block"], pa.nulls(len(table), schema.field("ids").type),
@@ -393,8 +395,9 @@ def score(documents: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
     The tries stay in ``folder`` (a new one in the shared folder by default). A word or
     pair is sent once for each block that has it, not once an occurrence, and its score
-    comes back once a block, in steps of 1 / ``STEP``; a frequent context is cut by following word into several
-    tries. Slices and tries grow in number with the input, not in size.
+    comes back once a block, in steps of 1 / ``STEP``; a frequent context is cut by
+    following word into several tries. Slices and tries grow in number with the input,
+    not in size.
     """
     spark = documents.sparkSession
     kind = documents.schema[id_column].dataType.simpleString()
