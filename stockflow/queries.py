@@ -758,6 +758,8 @@ def opening_snapshot(spark, sf_dir):
 
 # State partitions of the streams below, whose state is small.
 STATE_PARTITIONS = 8
+# Messages of a topic file, so that a delivery has as many files as its size asks for.
+FILE_MESSAGES = 100_000
 _topics: dict[tuple[str, str], list[str]] = {}
 
 
@@ -780,13 +782,20 @@ def _topic(spark, sf_dir) -> list[str]:
             .otherwise(2)
         )
         root = work_path(spark, "topic")
-        sent.withColumn("delivery", delivery).write.partitionBy("delivery").parquet(
-            root
-        )
+        _write_messages(sent.withColumn("delivery", delivery), root, "delivery")
         _topics[name] = [f"{root}/delivery={number}" for number in range(3)]
     return _topics[name]
 
 
+def _write_messages(sent: DataFrame, path: str, *partition_cols: str) -> None:
+    """Topic files of bounded length: a reader gets them in even shares.
+
+    Tasks that write hold stretches of the topic, so a delivery is in some of them only.
+    """
+    writer = sent.write.option("maxRecordsPerFile", FILE_MESSAGES)
+    writer.partitionBy(*partition_cols).parquet(path)
+
+
 def _run_once(spark, sf_dir, starter) -> Lake:
     """One stream over the whole topic, run until it has caught up."""
     lake = Lake(work_path(spark, "stream"))
@@ -811,7 +820,7 @@ def _run_state(spark, sf_dir, **options) -> tuple[Lake, streams.StateSink]:
     inbox = f"{lake.root}/inbox"
     for number, folder in enumerate(_topic(spark, sf_dir)):
         delivered = spark.read.schema(schemas.ENVELOPE).parquet(folder)
-        delivered.write.parquet(f"{inbox}/delivery-{number}")
+        _write_messages(delivered, f"{inbox}/delivery-{number}")
         events = E.events_from_messages(M.read_message_files(spark, f"{inbox}/*"))
         runner.run_to_end(
             spark,
@@ -917,7 +926,7 @@ def stream_late_sales(spark, sf_dir):
     lake = Lake(work_path(spark, "stream"))
     for number, folder in enumerate(_topic(spark, sf_dir)):
         delivered = spark.read.schema(schemas.ENVELOPE).parquet(folder)
-        delivered.write.parquet(f"{lake.root}/inbox/delivery-{number}")
+        _write_messages(delivered, f"{lake.root}/inbox/delivery-{number}")
         events = E.events_from_messages(M.read_message_files(spark, f"{lake.root}/inbox/*"))
         runner.run_to_end(
             spark,
