@@ -812,7 +812,9 @@ def _run_once(spark, sf_dir, starter) -> Lake:
 def _run_state(spark, sf_dir, **options) -> tuple[Lake, streams.StateSink]:
     """The state stream over three deliveries, restarted between them.
 
-    Every run resumes from the checkpoint and finds one more folder of messages.
+    Every run resumes from the checkpoint and finds one more folder of messages. The
+    stream keeps its state in the sink's tables, not in Spark's state store, so its
+    shuffles have the session's number of partitions and no fixed one.
     """
     lake = Lake(work_path(spark, "stream"))
     sink = streams.StateSink(spark, lake, fanout=2, buckets=STATE_PARTITIONS, **options)
@@ -825,7 +827,6 @@ def _run_state(spark, sf_dir, **options) -> tuple[Lake, streams.StateSink]:
         runner.run_to_end(
             spark,
             [lambda: streams.start_state(events, sink, runner.AVAILABLE_NOW)],
-            partitions=STATE_PARTITIONS,
         )
     return lake, sink
 
@@ -840,7 +841,6 @@ def _run_state_at_once(spark, sf_dir) -> Lake:
     runner.run_to_end(
         spark,
         [lambda: streams.start_state(events, sink, runner.AVAILABLE_NOW)],
-        partitions=STATE_PARTITIONS,
     )
     return lake
 
