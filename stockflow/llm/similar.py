@@ -44,7 +44,7 @@ _CELLS = 1 << 22
 _FOUND = 1 << 20
 _CLASSES = 256
 # Words of 64 bits in the parity sketch of a text's shingles.
-_ODD = ("odd0", "odd1")
+_ODD = ("odd0", "odd1", "odd2", "odd3")
 
 
 def shingle_set(text: bytes) -> np.ndarray:
@@ -137,7 +137,7 @@ def _least_shared(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _odd(values: np.ndarray) -> np.ndarray:
-    """For each of 128 classes of shingles, whether their number is odd.
+    """For each of 256 classes of shingles, whether their number is odd.
 
     Two sketches differ in no more bits than the sets in shingles, whatever the sizes.
     """
@@ -147,7 +147,7 @@ def _odd(values: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(vertex, n, odd0, odd1, shingles, slices): the shingles one of which similar texts share.
+    """(vertex, n, odd, shingles, slices): the shingles one of which similar texts share.
 
     Of n shingles in a fixed order, the first n - ceil(0.8 n) + 1: two texts that share
     none of these share less than 0.8 of the larger one. ``slices`` has for each how many
@@ -192,9 +192,10 @@ def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Data
                 ["vertex", "n", *_ODD, "shingles", "slices"],
             )
 
+    odd_words = ", ".join(f"{name} bigint" for name in _ODD)
     return texts.mapInArrow(
         compute,
-        "vertex bigint, n int, odd0 bigint, odd1 bigint, shingles array<bigint>, slices array<int>",
+        f"vertex bigint, n int, {odd_words}, shingles array<bigint>, slices array<int>",
     )
 
 

@@ -128,3 +128,26 @@ def test_sketches_never_differ_more_than_the_sets():
             bits = np.bitwise_count((S._odd(np.unique(left)) ^ S._odd(right)).view(np.uint64)).sum()
             assert bits <= len(np.setxor1d(left, right))
     assert bits > 20
+
+
+def test_unlike_texts_of_300_words_are_not_proposed(llm, monkeypatch):
+    """Texts that share an early shingle, but far fewer than similar ones, meet no join."""
+    rng = np.random.default_rng(3)
+    base = [f"w{int(v)}" for v in rng.integers(0, 5000, 300)]
+    rows = []
+    for k in range(20):
+        parts = list(base)
+        for at in rng.choice(300, 8, replace=False):
+            parts[at] = f"text{k}"
+        rows.append((k, " ".join(parts)))
+    assert len(set(groups(rows)[0])) == 20
+    proposed, possible = [], S._possible
+
+    def noting(pairs, vertices):
+        proposed.append(pairs.count())
+        return possible(pairs, vertices)
+
+    monkeypatch.setattr(S, "_possible", noting)
+    found = S.similar_groups(llm.createDataFrame(rows, "doc_id bigint, text string"))
+    assert len({r["component"] for r in found.collect()}) == 20
+    assert proposed[-1] <= 10
