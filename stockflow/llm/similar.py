@@ -6,7 +6,8 @@ the links; each compares what the rounds before have not brought into one group:
 
 1. fingerprints within the radius, found by Burkhard-Keller trees, each text against the
    first one its fingerprint reaches;
-2. texts that share a frequent shingle, each against its neighbours by size;
+2. texts that share a frequent shingle or one of their first, each against its neighbours
+   by size and, for the first shingles, in an order that every shingle deals anew;
 3. all texts that share a shingle early enough in a fixed order.
 
 The third alone would lose no link. The first two gather large groups of copies with work
@@ -31,11 +32,17 @@ from stockflow.llm.simhash_dedup import SEED, links, majority, named
 from stockflow.storage import discard, stored
 
 SIMILARITY = 0.8
-# Frequent shingles that are told apart, and the rows of a batch that make one frequent.
+# Frequent shingles that are told apart, and the rows that make one frequent: rows of all
+# texts if its hash is divisible by COUNTED, else of a batch.
 FREQUENT = 1 << 18
 FREQUENT_ROWS = 8
+COUNTED = 4
 # Rows of one shingle that a task compares together; more are cut into slices.
 SLICE_ROWS = 4096
+# First shingles of a text, and frequent ones among its early ones, by which it meets
+# neighbours before it meets all others, and how many neighbours by each.
+EARLY = 8
+NEIGHBOURS = 8
 # Links of one text that a task checks together.
 HUB_LINKS = 4096
 # Rows of cells that a task holds together, if a cell has no more.
@@ -110,7 +117,9 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     At most ``FREQUENT`` of them reach the driver. They only order shingles and cut hot
     ones into slices: any order gives the same pairs, and one with frequent shingles
-    last compares the fewest.
+    last compares the fewest. One shingle in ``COUNTED`` is counted over all texts, so
+    that a passage which few texts of each batch share is found too; of the others those
+    that a batch has often are.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,13 +128,13 @@ def _frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             found, times = np.unique(
                 np.concatenate([*values, np.zeros(0, np.uint64)]), return_counts=True
             )
-            many = times >= FREQUENT_ROWS
+            many = (found % np.uint64(COUNTED) == 0) | (times >= FREQUENT_ROWS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found[many].view(np.int64)), pa.array(times[many])], ["s", "n"]
             )
 
     rows = texts.mapInArrow(count, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n"))
-    rows = rows.orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()
+    rows = rows.where(F.col("n") >= FREQUENT_ROWS).orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()
     keys, times = rows["s"].to_numpy().view(np.uint64), rows["n"].to_numpy()
     order = np.argsort(keys)
     return keys[order], times[order]
@@ -147,18 +156,20 @@ def _odd(values: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(vertex, n, odd, shingles, slices): the shingles one of which similar texts share.
+    """(vertex, n, odd, shingles, slices, early): the shingles one of which similar texts share.
 
     Of n shingles in a fixed order, the first n - ceil(0.8 n) + 1: two texts that share
-    none of these share less than 0.8 of the larger one. ``slices`` has for each how many
-    slices its rows are cut into, and 0 where it is not frequent.
+    none of these share less than 0.8 of the larger one. Those known to be rare come
+    first, then those not counted, frequent ones last. ``slices`` has for each how many
+    slices its rows are cut into, and 0 where it is not frequent; ``early`` tells the first
+    ones and the least hashes of frequent ones, which near copies have in common.
     """
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (keys, times), seen = shared.value, set()
         for batch in batches:
-            vertices, sizes, odd, early, cuts = [], [], [], [], []
+            vertices, sizes, odd, parts, cuts, early = [], [], [], [], [], []
             for text in W.texts(batch.column(0)):
                 values = shingle_set(text)
                 vertex = _vertex(values)
@@ -170,13 +181,17 @@ def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Data
                     at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
                     often = np.where(keys[at] == values, times[at], 0)
                 size = len(values) - int(np.ceil(SIMILARITY * len(values) - 1e-9)) + 1
-                order = np.lexsort((values, often))[:size]
+                order = np.lexsort((values, values % np.uint64(COUNTED) != 0, often))[:size]
+                hot = np.flatnonzero(often[order])
+                meets = np.arange(size) < EARLY
+                meets[hot[np.argsort(values[order][hot])[:EARLY]]] = True
                 vertices.append(vertex)
                 sizes.append(len(values))
                 odd.append(_odd(values))
-                early.append(values[order].view(np.int64))
+                parts.append(values[order].view(np.int64))
                 cuts.append(-(-often[order] // SLICE_ROWS))
-            ends = np.cumsum([0, *map(len, early)]).astype(np.int32)
+                early.append(meets)
+            ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(vertices, pa.int64()),
@@ -184,18 +199,18 @@ def _prefixes(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Data
                     *map(pa.array, np.array(odd, np.int64).reshape(-1, len(_ODD)).T),
                     *(
                         pa.ListArray.from_arrays(
-                            pa.array(ends), pa.array(np.concatenate([np.empty(0, kind), *parts]).astype(kind))
+                            pa.array(ends), pa.array(np.concatenate([np.empty(0, kind), *lists]).astype(kind))
                         )
-                        for parts, kind in ((early, np.int64), (cuts, np.int32))
+                        for lists, kind in ((parts, np.int64), (cuts, np.int32), (early, bool))
                     ),
                 ],
-                ["vertex", "n", *_ODD, "shingles", "slices"],
+                ["vertex", "n", *_ODD, "shingles", "slices", "early"],
             )
 
     odd_words = ", ".join(f"{name} bigint" for name in _ODD)
     return texts.mapInArrow(
         compute,
-        f"vertex bigint, n int, {odd_words}, shingles array<bigint>, slices array<int>",
+        f"vertex bigint, n int, {odd_words}, shingles array<bigint>, slices array<int>, early array<boolean>",
     )
 
 
@@ -203,25 +218,25 @@ def _buckets(prefixes: DataFrame, groups: DataFrame, every: bool) -> DataFrame:
     """The rows of each shingle, dealt to tasks; a hot shingle's rows in bounded cells.
 
     For ``every`` pair, a row meets its own slice and each of the others, so it is sent
-    as often as there are slices; else it meets its own only, and frequent shingles are
-    all that count.
+    as often as there are slices; else it meets its own only, and frequent and early
+    shingles are all that count.
     """
     rows = (
         prefixes.join(groups.toDF("vertex", "group"), "vertex", "left")
         .select(
             "vertex", "n", *_ODD, F.coalesce("group", "vertex").alias("group"),
-            F.posexplode(F.arrays_zip("shingles", "slices")).alias("place", "one"),
+            F.posexplode(F.arrays_zip("shingles", "slices", "early")).alias("place", "one"),
         )
-        .select("one.shingles", "vertex", "n", *_ODD, "place", "group", "one.slices")
+        .select("one.shingles", "vertex", "n", *_ODD, "place", "group", "one.slices", "one.early")
         .withColumnRenamed("shingles", "shingle")
     )
     if not every:
-        rows = rows.where("slices > 0")
+        rows = rows.where("slices > 0 or early")
     rows = rows.withColumn("slices", F.greatest("slices", F.lit(1)))
     own = F.pmod(F.xxhash64("vertex"), F.col("slices")).cast("int")
     others = F.sequence(F.lit(0), F.col("slices") - 1) if every else F.array(own)
     rows = rows.select("*", own.alias("slice"), F.explode(others).alias("other"))
-    columns = ["shingle", "vertex", "n", *_ODD, "place", "group", "slice"]
+    columns = ["shingle", "vertex", "n", *_ODD, "place", "group", "slice"] + ["early"] * (not every)
     least, most = F.least("slice", "other"), F.greatest("slice", "other")
     rows = rows.select(*columns, (least * F.col("slices") + most).alias("cell"))
     return rows.repartition("shingle", "cell").sortWithinPartitions("shingle", "cell")
@@ -259,15 +274,33 @@ def _sharing(every: bool):
             yield from within(table)
 
     def within(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        names = ("shingle", "cell", "vertex", "n", "place", "group", "slice", *_ODD)
+        names = ["shingle", "cell", "vertex", "n", "place", "group", "slice", *_ODD]
+        names += ["early"] * (not every)
         rows = {name: table[name].to_numpy() for name in names}
         order = np.lexsort((rows["vertex"], rows["n"], rows["cell"], rows["shingle"]))
-        key, cell, vertex, size, place, group, slice_, *odd = (rows[name][order] for name in names)
+        rows = {name: rows[name][order] for name in names}
+        # Copies that several tasks have read are one vertex, so one row.
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([rows[name][1:] != rows[name][:-1] for name in ("shingle", "cell", "vertex")], axis=0)
+        rows = {name: rows[name][new] for name in names}
+        key, cell, vertex, size, place, group, slice_ = (rows[name] for name in names[:7])
+        odd = [rows[name] for name in _ODD]
         # A cell of two slices holds the pairs between them, one of a slice those inside.
         new = np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]
         first = np.flatnonzero(new)
         mixed = np.minimum.reduceat(slice_, first) != np.maximum.reduceat(slice_, first)
         bucket = np.cumsum(new) - 1
+
+        def possible(at: np.ndarray, other: np.ndarray) -> np.ndarray:
+            most = np.minimum(size[at] - place[at], size[other] - place[other])
+            fits = (most >= _least_shared(size[at], size[other])) & (group[at] != group[other])
+            fits &= ~mixed[bucket[at]] | (slice_[at] != slice_[other])
+            x, y = at[fits], other[fits]
+            apart = sum(np.bitwise_count((w[x] ^ w[y]).view(np.uint64)).astype(np.int64) for w in odd)
+            same = apart <= size[x] + size[y] - 2 * _least_shared(size[x], size[y])
+            a, b = vertex[x[same]], vertex[y[same]]
+            return np.stack([np.minimum(a, b), np.maximum(a, b)], 1)
+
         at, step, found = np.arange(len(key)), 1, [np.zeros((0, 2), np.int64)]
         held = 0
         while len(at):
@@ -276,21 +309,24 @@ def _sharing(every: bool):
             # Sizes ascend, so a row with too large a partner has none further on.
             alive = (bucket[at] == bucket[other]) & (size[at] >= SIMILARITY * size[other] - 1e-9)
             at, other = at[alive], other[alive]
-            most = np.minimum(size[at] - place[at], size[other] - place[other])
-            fits = (most >= _least_shared(size[at], size[other])) & (group[at] != group[other])
-            fits &= ~mixed[bucket[at]] | (slice_[at] != slice_[other])
-            x, y = at[fits], other[fits]
-            apart = sum(np.bitwise_count((w[x] ^ w[y]).view(np.uint64)).astype(np.int64) for w in odd)
-            same = apart <= size[x] + size[y] - 2 * _least_shared(size[x], size[y])
-            a, b = vertex[x[same]], vertex[y[same]]
-            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-            held += len(a)
+            found.append(possible(at, other))
+            held += len(found[-1])
             if held > _FOUND:
                 yield _pairs(found)
                 found, held = [np.zeros((0, 2), np.int64)], 0
             if not every:
                 break
             step += 1
+        if not every:
+            # Neighbours by size are the same for each shingle that two texts share; here they differ.
+            early = np.flatnonzero(rows["early"])
+            band = np.floor(np.log(size[early]) / -np.log(SIMILARITY))
+            dealt = W.mix((vertex[early] ^ key[early]).view(np.uint64))
+            early = early[np.lexsort((dealt, band, bucket[early]))]
+            for step in range(1, NEIGHBOURS + 1):
+                at, other = early[:-step], early[step:]
+                alive = bucket[at] == bucket[other]
+                found.append(possible(at[alive], other[alive]))
         yield _pairs(found)
 
     return search

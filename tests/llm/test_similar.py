@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import SparkSession
 
 from stockflow.llm import similar as S
 from tests.llm import brute
@@ -151,3 +152,51 @@ def test_unlike_texts_of_300_words_are_not_proposed(llm, monkeypatch):
     found = S.similar_groups(llm.createDataFrame(rows, "doc_id bigint, text string"))
     assert len({r["component"] for r in found.collect()}) == 20
     assert proposed[-1] <= 10
+
+
+def _searched(monkeypatch):
+    """The rows that each search makes, in a list that grows with every round."""
+    made, sharing = [], S._sharing
+
+    def noting(every):
+        search = sharing(every)
+        rows = SparkSession.getActiveSession().sparkContext.accumulator(0)
+        made.append(rows)
+
+        def counted(batches):
+            for batch in search(batches):
+                rows.add(len(batch))
+                yield batch
+
+        return counted
+
+    monkeypatch.setattr(S, "_sharing", noting)
+    return made
+
+
+def test_a_loose_group_is_not_compared_pair_by_pair(llm, monkeypatch):
+    """Copies of one text with changes of their own; about one pair in three is similar."""
+    rng = np.random.default_rng(6)
+    base = [f"w{k}" for k in range(250)]
+    rows = []
+    for k in range(400):
+        parts = list(base)
+        for at in rng.choice(250, 3, replace=False):
+            parts[at] = f"text{k}at{at}"
+        rows.append((k, " ".join(parts)))
+    made = _searched(monkeypatch)
+    table = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(40)
+    found = {r["id"]: r["component"] for r in S.similar_groups(table).collect()}
+    assert [found[k] for k, _ in rows] == groups(rows)[0]
+    assert sum(rows.value for rows in made) < 100 * len(rows)
+
+
+def test_a_passage_that_few_texts_of_each_batch_share_is_frequent(llm):
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(k, " ".join([f"t{k}w{j}" for j in range(300)] + passage)) for k in range(40)]
+    table = llm.createDataFrame(rows, "doc_id bigint, text string").repartition(20)
+    found, times = S._frequent(S._texts(table, "text"))
+    shared = set(S.shingle_set(" ".join(passage).encode()).tolist())
+    counted = {value for value in shared if value % S.COUNTED == 0}
+    assert len(counted) > 5 and counted == set(found.tolist()) & shared
+    assert (times == 40).all()
